@@ -53,10 +53,11 @@ def word_hashes(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64)), first
 
 
-def shingle_hashes(items: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(items: list[bytes], width: int = SHINGLE, below: int = 1 << 64) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and where each text's begin (one more than texts).
 
-    A text of fewer words than width has one shingle, of all its words; a text without words has none.
+    A text of fewer words than width has one shingle, of all its words; a text without words has none. Only hashes under
+    `below` are kept.
     """
     words, first = word_hashes(items)
     n = np.diff(first)
@@ -72,8 +73,12 @@ def shingle_hashes(items: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray
         out += np.where(place + k < last, padded[k : k + len(words)] * multipliers[k], np.uint64(0))
     out = mixed(out)
     valid = (place + width <= last) | ((n[owner] < width) & (place == first[:-1][owner]))
+    if below < 1 << 64:
+        valid &= out < np.uint64(below)
     out, owner = out[valid], owner[valid]
-    order = np.lexsort((out, owner))
+    order = np.argsort(out)
+    small = owner[order].astype(np.uint16) if len(n) < 1 << 16 else owner[order]
+    order = order[np.argsort(small, kind="stable")]
     out, owner = out[order], owner[order]
     fresh = np.ones(len(out), bool)
     fresh[1:] = (out[1:] != out[:-1]) | (owner[1:] != owner[:-1])

@@ -30,12 +30,24 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "n_toxic")
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ionloom.llm.fingerprints import compare_edited
+
+    return compare_edited(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ionloom.llm.quality import classify
 
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ionloom.llm.neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
