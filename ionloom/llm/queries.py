@@ -30,6 +30,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "n_toxic")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ionloom.llm.extraction import main_text
+
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ionloom.llm.fingerprints import compare_edited
 
