@@ -53,11 +53,11 @@ def word_hashes(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64)), first
 
 
-def shingle_hashes(items: list[bytes], width: int = SHINGLE, below: int = 1 << 64) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(items: list[bytes], width: int = SHINGLE, below: int = 1 << 64, distinct: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, and where each text's begin (one more than texts).
 
     A text of fewer words than width has one shingle, of all its words; a text without words has none. Only hashes under
-    `below` are kept.
+    `below` are kept. With distinct=False, all of them in the text's order.
     """
     words, first = word_hashes(items)
     n = np.diff(first)
@@ -76,6 +76,8 @@ def shingle_hashes(items: list[bytes], width: int = SHINGLE, below: int = 1 << 6
     if below < 1 << 64:
         valid &= out < np.uint64(below)
     out, owner = out[valid], owner[valid]
+    if not distinct:
+        return out, np.searchsorted(owner, np.arange(len(n) + 1))
     order = np.argsort(out)
     small = owner[order].astype(np.uint16) if len(n) < 1 << 16 else owner[order]
     order = order[np.argsort(small, kind="stable")]
