@@ -170,20 +170,22 @@ def _surviving(rule):
 
     def group_links(key, sig, tile, i, j):
         n = len(key)
-        parts_a, parts_b = [], []
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if i == j:
-            rows = [(np.arange(n), x) for x in np.array_split(np.arange(n), max(1, n // 256))]
+            rows = [(np.arange(n), x) for x in np.array_split(np.arange(n), max(1, n // 128))]
         else:
             one, two = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
-            rows = [(two, x) for x in np.array_split(one, max(1, len(one) // 256))]
+            rows = [(two, x) for x in np.array_split(one, max(1, len(one) // 128))]
         for others, some in rows:
-            a, b = np.repeat(some, len(others)), np.tile(others, len(some))
+            x, y = np.repeat(some, len(others)), np.tile(others, len(some))
             if i == j:
-                a, b = a[a < b], b[a < b]
-            a, b = prune(sig, a, b, rule)
-            parts_a.append(a)
-            parts_b.append(b)
-        return np.concatenate(parts_a), np.concatenate(parts_b)
+                x, y = x[x < y], y[x < y]
+            x, y = prune(sig, x, y, rule)
+            # what connects is enough: one link for each text that has any
+            first = roots(n, np.concatenate([a, x]), np.concatenate([b, y]))
+            b = np.flatnonzero(first != np.arange(n))
+            a = first[b]
+        return a, b
 
     def run(batches):
         held = None
