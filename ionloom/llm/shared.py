@@ -7,14 +7,26 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: A word is a run of anything but ASCII white space; bytes.split() cuts UTF-8 the same way.
 WORD = r"[^\x20\x09-\x0D]+"
+#: With this, Spark deletes a finished query's shuffle files at once, not when the driver collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: UTF-8 bytes that a numpy pass holds at once.
 SLICE_BYTES = 8 << 20
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df; its session, where it has Spark's own bound of 64 MB, sends no more than 4 MB at a time to Python: texts are large."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES).lower() in ("67108864b", "67108864", "64m", "64mb"):
+        conf.set(BATCH_BYTES, "4m")
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; only where none is set, a local folder (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,7 +41,13 @@ def shared_dir(spark: SparkSession) -> str:
 def kept(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read again: the lineage ends there, in files that survive lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, "false")
+    conf.set(CLEAN_UP, "true")  # what this write has shuffled, no later step reads
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,6 +87,13 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES):
         yield at, len(sizes)
 
 
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
+    """(from, to, UTF-8 bytes of each text) over a string column, about limit bytes at a time; no more is copied."""
+    sizes = [x or 0 for x in pc.binary_length(column).to_pylist()]
+    for lo, hi in slices(sizes, limit):
+        yield lo, hi, texts(column.slice(lo, hi - lo))
+
+
 def flat(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all items in one array, and where each starts (one more than items)."""
     starts = np.zeros(len(items) + 1, np.int64)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ionloom.llm.shared import bytes_of, flat, kept, record_batch, slices, texts
+from ionloom.llm.shared import bytes_of, flat, kept, record_batch, slices, small_batches, texts
 
 LENGTH = 100
 GRAM = 24
@@ -24,7 +24,7 @@ GRAM = 24
 CHUNK = 1 << 21
 CONTEXT_ROWS = 1 << 15
 #: Positions and spans are broadcast to the texts up to this size; beyond it texts are shuffled to them.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 2 << 20
 _LAST = (1 << 63) - 1
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -203,6 +203,25 @@ def _later(matrix, h, before, after, ord_, tie, pos) -> tuple[np.ndarray, np.nda
     return out, order
 
 
+def _half_shared(matrix, h, length: int) -> np.ndarray:
+    """Which contexts share the half string before, or that after, their anchor with another of the same anchor.
+
+    A string of `length` through an anchor takes in one of these halves.
+    """
+    reach, half = length - GRAM, (length - GRAM) // 2
+    out = np.zeros(len(h), bool)
+    for at in (reach - half, reach + GRAM):
+        width = -(-half // 8) * 8
+        part = np.zeros((len(h), width), np.uint8)
+        part[:, :half] = matrix[:, at : at + half]
+        words = part.view(np.uint64)
+        digest = ((words ^ (words >> np.uint64(31))) * ((np.arange(1, width // 8 + 1, dtype=np.uint64) * _C[1]) | np.uint64(1))[None, :]).sum(1, dtype=np.uint64)
+        digest = (digest ^ (digest >> np.uint64(29))) * _C[0] + h.view(np.uint64) * _C[2]
+        _, inverse, count = np.unique(digest, return_inverse=True, return_counts=True)
+        out |= count[inverse] > 1
+    return out
+
+
 def refine(matrix: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """Bucket of the string of `length` bytes at each (row, column), for strings of one group and column; -1 where it's alone.
 
@@ -259,6 +278,7 @@ def _find_spans(length: int):
             edge = np.flatnonzero(np.diff(h[first])) + 1
             count = np.diff(np.concatenate([[0], edge, [len(first)]]))
             several = first[np.repeat(count > 1, count)]
+            several = several[_half_shared(matrix[several], h[several], length)] if len(several) else several
             if len(several):
                 group = np.cumsum(np.concatenate([[0], np.diff(h[several]) != 0]))
                 # within a group by place in the corpus, so that the first of a bucket is the first string
@@ -320,7 +340,7 @@ def _met(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """ord, tie, begins, ends for documents that have any: bytes covered by strings of `length` bytes that start earlier too. docs: text, ord, tie."""
-    own = docs.select("ord", "tie", F.col("text").cast("string").alias("text"))
+    own = small_batches(docs).select("ord", "tie", F.col("text").cast("string").alias("text"))
     found = own.mapInArrow(_find_anchors(length), "hash long, ord long, tie long, pos long")
     again = found.repartition("hash").sortWithinPartitions("hash").mapInArrow(_repeated, "ord long, tie long, pos long")
     places = kept(again.groupBy("ord", "tie").agg(F.collect_list(F.col("pos")).alias("positions")), "suffix-anchors")
