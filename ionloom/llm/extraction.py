@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ionloom.llm.shared import bytes_of, kept, record_batch
+from ionloom.llm.shared import bytes_of, kept, record_batch, small_batches
 
 #: A subtree is template from so many pages of its host on, and from this share of them on.
 LEAST_PAGES, LEAST_SHARE = 3, 0.05
@@ -245,7 +245,7 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     Null and empty html give an empty text. A page whose url is null or names no host has no template; the rest holds for
     it too. Repeated rows count as pages of their own. Extra columns play no part. No rows give no rows.
     """
-    own = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host_of(F.col("url")))
+    own = small_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host_of(F.col("url")))
     known = kept(templates(pages, least_pages, least_share), "html-templates")
     if bytes_of(known) <= BROADCAST_BYTES:
         met = own.join(F.broadcast(known), "host", "left")

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ionloom.llm.hashing import SHINGLE, shingle_hashes
-from ionloom.llm.shared import record_batch, slices, texts
+from ionloom.llm.shared import record_batch, slices, small_batches, texts
 
 #: One of so many hashes is retained.
 SCALE = 4
@@ -80,7 +80,7 @@ def fingerprint(docs: DataFrame, scale: int = SCALE, width: int = SHINGLE) -> Da
                 found = sketches(items[lo:hi], scale, width)
                 yield record_batch(schema, doc_id=keys[lo:hi], n_retained=[len(x) for x in found], fingerprint=[spelled(t, x) for t, x in zip(items[lo:hi], found, strict=True)])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_retained long, fingerprint string")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_retained long, fingerprint string")
 
 
 def with_follower(docs: DataFrame) -> DataFrame:
@@ -167,4 +167,4 @@ def compare_edited(docs: DataFrame, scale: int = SCALE, width: int = SHINGLE) ->
             yield emitted(held)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_follower(docs).mapInArrow(run, schema)
+    return with_follower(small_batches(docs)).mapInArrow(run, schema)

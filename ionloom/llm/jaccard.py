@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ionloom.llm.graphs import components, roots
 from ionloom.llm.hashing import SHINGLE, shingle_hashes
-from ionloom.llm.shared import bytes_of, kept, record_batch, slices, texts
+from ionloom.llm.shared import bytes_of, kept, record_batch, slices, small_batches, texts
 
 THRESHOLD = 0.8
 #: A pair at the threshold misses all buckets with a probability of (1 - 0.8 ** ROWS) ** BANDS = 7e-6.
@@ -83,7 +83,7 @@ def signed(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             for lo, hi in slices([len(x) for x in items], 4 << 20):
                 yield record_batch(schema, doc_id=batch.column("doc_id").slice(lo, hi - lo), key=batch.column("key").slice(lo, hi - lo), sig=signatures(items[lo:hi], width))
 
-    return docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, key long, sig binary")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, key long, sig binary")
 
 
 def _bands(batches):

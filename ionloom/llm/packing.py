@@ -12,16 +12,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ionloom.llm.shared import flat, record_batch, slices, texts
+from ionloom.llm.shared import flat, record_batch, small_batches, text_slices
 
 CAPACITY = 2048
 END_ID = 0
 #: Bins that are open at once in each bucket; with the longest pieces first, about as many as its rows make.
 OPEN_BINS = 8192
-#: Rows of one bucket; the number of buckets follows the number of documents.
-BUCKET_ROWS = 16_384
+#: Rows of one bucket, without and with their ids; the number of buckets follows the number of documents.
+BUCKET_ROWS, BUCKET_ROWS_WITH_IDS = 16_384, 4096
 #: A text with a longer run of one kind of byte (white space or not) is encoded by the slower, never quadratic encoder.
 LONG_RUN = 2048
 
@@ -83,17 +83,17 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     def run(batches):
         encode = encoder(path)
         for batch in batches:
-            keys, items = batch.column("doc_id").to_pylist(), texts(batch.column("text"))
-            for lo, hi in slices([len(x) for x in items]):
+            keys = batch.column("doc_id").to_pylist()
+            for lo, hi, items in text_slices(batch.column("text"), 4 << 20):
                 out: dict[str, list] = {f.name: [] for f in _PIECES}
-                for key, ids in zip(keys[lo:hi], encode(items[lo:hi]), strict=True):
+                for key, ids in zip(keys[lo:hi], encode(items), strict=True):
                     raw = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
                     for k, (start, length) in enumerate(cut(len(ids) + 1, capacity)):
                         for name, value in zip(out, (key, k, start, length, raw[4 * start : 4 * (start + length)]), strict=True):
                             out[name].append(value)
                 yield record_batch(_PIECES, **out)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
 
 def best_fit(lengths, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> tuple[list[int], list[int]]:
@@ -134,7 +134,7 @@ def pack_pieces(pieces: DataFrame, n_rows: int, capacity: int = CAPACITY, open_b
     n_buckets = max(1, -(-n_rows // bucket_rows))
     plain = [c for c in pieces.columns if c != "ids"]
     keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64(*plain), F.lit(n_buckets)))
-    out = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
@@ -155,4 +155,4 @@ def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = C
     pieces = token_pieces(docs, path, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
     if not with_ids:
         pieces = pieces.drop("ids")
-    return pack_pieces(pieces, docs.select("doc_id").count(), capacity, open_bins)
+    return pack_pieces(pieces, docs.select("doc_id").count(), capacity, open_bins, BUCKET_ROWS_WITH_IDS if with_ids else BUCKET_ROWS)

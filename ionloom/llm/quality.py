@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ionloom.llm.sampling import SAMPLE_ROWS, held_out, labelled_sample
-from ionloom.llm.shared import record_batch, slices, texts
+from ionloom.llm.shared import record_batch, slices, small_batches, texts
 
 WORD_BITS = 15
 RANK = 8
@@ -151,7 +151,7 @@ def score(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
             got = pa.array(np.concatenate(out) if out else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bound: int = SAMPLE_ROWS) -> DataFrame:

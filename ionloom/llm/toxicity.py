@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ionloom.llm.hashing import shingle_hashes
 from ionloom.llm.sampling import held_out, labelled_sample
-from ionloom.llm.shared import slices, texts
+from ionloom.llm.shared import slices, small_batches, texts
 
 FEATURE_BITS = 17
 #: A text counts as toxic from this score on, a token from this marginal on.
@@ -293,7 +293,7 @@ def score(docs: DataFrame, tagger: Tagger, threshold: float = THRESHOLD, with_sp
                 found = [spans(items[lo + i], p[starts[i] : starts[i + 1]], threshold) if with_spans and n_toxic[i] else [] for i in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(own.score(p, starts)), pa.array(n_toxic, pa.int64()), pa.array(found, span_type)], names=["doc_id", "score", "n_toxic", "toxic_spans"])
 
-    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    own = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return own.mapInArrow(run, f"doc_id long, score double, n_toxic long, toxic_spans {SPAN}")
 
 
