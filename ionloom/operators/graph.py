@@ -5,10 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 MOST_ROUNDS = 60
+#: Edges of a component that one task prunes.
+IN_MEMORY = 1_000_000
 
 
 def cut(df: DataFrame, what: str = "graph") -> DataFrame:
@@ -86,11 +89,42 @@ def component_index(edges: DataFrame) -> DataFrame:
     return named.join(found.withColumnRenamed("id", "id_a"), "id_a").join(F.broadcast(index) if index.limit(100_001).count() <= 100_000 else index, "component").drop("component")
 
 
+def _delta(size: float, most: int) -> float:
+    return 0.01 if size > 3 * most else 0.005 if size > 2 * most else 0.002 if size > 1.5 * most else 0.001
+
+
+def prune_in_memory(edges: pd.DataFrame, most: int) -> pd.DataFrame:
+    """The rounds of prune_components for edges (id_a, id_b, cosine) of one component."""
+    todo, done = [edges], []
+    while todo:
+        own = todo.pop()
+        names, place = np.unique(np.concatenate([own["id_a"], own["id_b"]]), return_inverse=True)
+        a, b = place[: len(own)], place[len(own) :]
+        label = np.arange(len(names))
+        while True:
+            before = label.copy()
+            low = np.minimum(label[a], label[b])
+            np.minimum.at(label, a, low)
+            np.minimum.at(label, b, low)
+            label = label[label]
+            if (label == before).all():
+                break
+        size = np.bincount(label, minlength=len(names))
+        for root in np.unique(label[a]) if len(own) else []:
+            part = own[label[a] == root]
+            if size[root] <= most:
+                done.append(part)
+            else:
+                todo.append(part[part["cosine"] >= part["cosine"].min() + _delta(size[root], most)])
+    return pd.concat(done) if done else edges.iloc[:0]
+
+
 def prune_components(edges: DataFrame, most: int, rounds: int = 2000) -> DataFrame:
     """Edges less the weakest of components with more than `most` nodes, again and again until none is as large.
 
     Each round drops a large component's edges under its least cosine plus 0.01, 0.005, 0.002 or 0.001, for more than 3,
-    2, 1.5 times the size, or less. 0 leaves all. Components that are small enough leave the loop.
+    2, 1.5 times the size, or less. 0 leaves all. Components are independent: those of up to IN_MEMORY edges go through
+    their rounds in a task of their own; larger ones have a round of the whole cluster, and are looked at again.
     """
     if most == 0:
         return edges
@@ -99,10 +133,14 @@ def prune_components(edges: DataFrame, most: int, rounds: int = 2000) -> DataFra
     for _ in range(rounds):
         found = components(open_)
         sizes = found.groupBy("component").agg(F.count("*").alias("size"))
-        met = cut(open_.join(found.withColumnRenamed("id", "id_a"), "id_a").join(sizes, "component"))
+        placed = open_.join(found.withColumnRenamed("id", "id_a"), "id_a").join(sizes, "component")
+        met = cut(placed.join(placed.groupBy("component").agg(F.count("*").alias("n_edges")), "component"))
         small = met.where(F.col("size") <= most).select(*edges.columns)
+        local = met.where((F.col("size") > most) & (F.col("n_edges") <= IN_MEMORY)).select("component", *edges.columns)
+        pruned = local.groupBy("component").applyInPandas(lambda left: prune_in_memory(left.drop(columns="component"), most), edges.schema)
+        small = small.unionByName(pruned)
         done = small if done is None else done.unionByName(small)
-        large = met.where(F.col("size") > most)
+        large = met.where((F.col("size") > most) & (F.col("n_edges") > IN_MEMORY))
         if not large.limit(1).count():
             break
         delta = F.when(F.col("size") > 3 * most, 0.01).when(F.col("size") > 2 * most, 0.005).when(F.col("size") > 1.5 * most, 0.002).otherwise(0.001)

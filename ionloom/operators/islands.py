@@ -149,6 +149,7 @@ def greedy_clean(clusters: DataFrame, pairs: DataFrame | None, mz_tolerance: flo
     where = placed.select("id", "island")
     empty = clusters.sparkSession.createDataFrame([], "id_a long, id_b long, cosine double")
     within = (pairs.select("id_a", "id_b", "cosine") if pairs is not None else empty).join(where.select(F.col("id").alias("id_a"), "island"), "id_a").join(where.select(F.col("id").alias("id_b"), F.col("island").alias("other")), "id_b").where("island = other").drop("other")
+    within = cut(within, "island-pairs")
     exact = peak_id_match == "exact"
     level = similarity if pairs is not None else None
 
