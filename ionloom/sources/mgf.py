@@ -16,8 +16,8 @@ def parsed(value: Column, with_peaks: bool = True) -> list[Column]:
     Missing numbers are -1, as is a base peak without peaks; a spectrum without scan or precursor mass fails.
     """
     tag = lambda name: F.nullif(F.trim(F.regexp_extract(value, rf"(?m)^\s*{name}=(.*?)\s*$", 1)), F.lit(""))
-    number = lambda name, kind="double": F.coalesce(F.nullif(F.regexp_extract(tag(name), r"^([-+0-9.eE]+)", 1), F.lit("")).cast(kind), F.lit(-1).cast(kind))
-    needed = lambda name, pattern, kind: F.coalesce(F.nullif(F.regexp_extract(tag(pattern), r"^([-+0-9.eE]+)", 1), F.lit("")).cast(kind), F.raise_error(F.lit(f"a spectrum without {name}")).cast(kind))
+    number = lambda name, kind="double": F.coalesce(F.nullif(F.regexp_extract(tag(name), r"^([-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?)", 1), F.lit("")).cast(kind), F.lit(-1).cast(kind))
+    needed = lambda name, pattern, kind: F.coalesce(F.nullif(F.regexp_extract(tag(pattern), r"^([-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?)", 1), F.lit("")).cast(kind), F.raise_error(F.lit(f"a spectrum without {name}")).cast(kind))
     lines = F.filter(F.split(value, r"\r?\n"), lambda x: x.rlike(_PEAK_LINE))
     pairs = F.transform(lines, lambda x: F.split(F.trim(x), r"\s+"))
     peaks = F.transform(pairs, lambda x: F.struct(x[0].cast("float").cast("double").alias("mz"), x[1].cast("float").cast("double").alias("intensity")))
