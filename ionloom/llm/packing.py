@@ -45,10 +45,10 @@ class Encoder:
 
     def __call__(self, items: list[bytes]) -> Iterator[np.ndarray]:
         buffer, starts = flat(items)
-        blank = np.flatnonzero(np.diff(buffer <= 32)) + 1
-        edges = np.unique(np.concatenate([blank, starts]))
-        long_at = edges[:-1][np.diff(edges) > LONG_RUN]
-        slow = set((np.searchsorted(starts, long_at, "right") - 1).tolist())
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(buffer <= 32)) + 1, [len(buffer)]])
+        runs = np.flatnonzero(np.diff(edges) > LONG_RUN)
+        first, last = np.searchsorted(starts, edges[runs], "right") - 1, np.searchsorted(starts, edges[runs + 1], "left") - 1
+        slow = {i for a, b in zip(first.tolist(), last.tolist(), strict=True) for i in range(a, b + 1)}
         for i, raw in enumerate(items):
             text = raw.decode("utf-8", "replace")
             if i in slow:
