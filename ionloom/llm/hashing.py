@@ -21,11 +21,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_known_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = _ONE
-    return np.multiply.accumulate(out)
+    """base ** 0, 1, ... of n numbers; those of usual slices are remembered."""
+    known = _known_powers.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(n + n // 8 + 1, base, np.uint64)
+        known[0] = _ONE
+        known = np.multiply.accumulate(known)
+        if len(known) <= 2 << 20:
+            _known_powers[int(base)] = known
+    return known[:n]
 
 
 def word_edges(buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -26,6 +26,8 @@ BANDS, ROWS = 30, 5
 STEP, TOLERANCE = 25, 1e-4
 #: Texts in one tile of a bucket, and of a component whose texts are compared whole.
 BUCKET_TILE, VERIFY_TILE = 2048, 512
+#: Bytes of text that a worker hashes at a time; it takes some fifty times that in memory.
+HASHED_BYTES = 1 << 20
 #: Membership of connected texts is broadcast up to this size; beyond it texts are shuffled to it.
 BROADCAST_BYTES = 8 << 20
 
@@ -80,7 +82,7 @@ def signed(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     def run(batches):
         for batch in batches:
             items = texts(batch.column("text"))
-            for lo, hi in slices([len(x) for x in items], 4 << 20):
+            for lo, hi in slices([len(x) for x in items], HASHED_BYTES):
                 yield record_batch(schema, doc_id=batch.column("doc_id").slice(lo, hi - lo), key=batch.column("key").slice(lo, hi - lo), sig=signatures(items[lo:hi], width))
 
     return small_batches(docs).select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, key long, sig binary")
@@ -275,7 +277,7 @@ def _verify(threshold: float, width: int):
         weight = np.array([rows["n"][p] for p in place], np.int64)
         items = [rows["text"][p] for p in place]
         sets: list[np.ndarray] = []
-        for lo, hi in slices([len(x) for x in items], 4 << 20):
+        for lo, hi in slices([len(x) for x in items], HASHED_BYTES):
             hashes, starts = shingle_hashes(items[lo:hi], width)
             sets += np.split(hashes, starts[1:-1])
         size = np.array([len(s) for s in sets], np.float64)
