@@ -16,15 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ionloom.llm.shared import bytes_of, flat, kept, record_batch, slices, small_batches, texts
+from ionloom.llm.shared import flat, kept, record_batch, slices, small_batches, texts
 
 LENGTH = 100
 GRAM = 24
 #: Bytes that a numpy pass over a text holds at once; contexts that one refinement holds.
-CHUNK = 1 << 21
-CONTEXT_ROWS = 1 << 15
-#: Positions and spans are broadcast to the texts up to this size; beyond it texts are shuffled to them.
-BROADCAST_BYTES = 2 << 20
+CHUNK = 1 << 20
+CONTEXT_ROWS = 1 << 14
 _LAST = (1 << 63) - 1
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -97,7 +95,7 @@ def _find_anchors(length: int):
         for batch in batches:
             items = texts(batch.column("text"))
             ord_, tie = batch.column("ord").to_numpy(), batch.column("tie").to_numpy()
-            for lo, hi in slices([len(x) for x in items]):
+            for lo, hi in slices([len(x) for x in items], 4 << 20):
                 buffer, starts = flat(items[lo:hi])
                 place, h = anchors(buffer, starts, length)
                 owner = np.searchsorted(starts, place, "right") - 1
@@ -335,7 +333,8 @@ def _ordered(docs: DataFrame) -> DataFrame:
 
 
 def _met(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
-    return docs.join(F.broadcast(small) if bytes_of(small) <= BROADCAST_BYTES else small.hint("merge"), ["ord", "tie"], how)
+    """By document. small is read from files, so Spark knows its size and broadcasts it within the session's bound."""
+    return docs.join(small, ["ord", "tie"], how)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
