@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ END_ID = 0
 #: Bins that are open at once in each bucket; with the longest pieces first, about as many as its rows make.
 OPEN_BINS = 8192
 #: Rows of one bucket, without and with their ids; the number of buckets follows the number of documents.
-BUCKET_ROWS, BUCKET_ROWS_WITH_IDS = 16_384, 4096
+BUCKET_ROWS, BUCKET_ROWS_WITH_IDS = 16_384, 2048
 #: A text with a longer run of one kind of byte (white space or not) is encoded by the slower, never quadratic encoder.
 LONG_RUN = 2048
 
@@ -35,13 +36,20 @@ class Encoder:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(f"{path}.tiktoken", "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.exact = Tokenizer.from_file(f"{path}.json")
-        self.exact.encode_special_tokens = True
+        self.path = path
+
+    @cached_property
+    def exact(self):
+        """Only loaded where a text needs it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(f"{self.path}.json")
+        found.encode_special_tokens = True
+        return found
 
     def __call__(self, items: list[bytes]) -> Iterator[np.ndarray]:
         buffer, starts = flat(items)

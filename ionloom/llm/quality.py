@@ -146,7 +146,7 @@ def score(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
         machine = FactorisationMachine(*packed.value)
         for batch in batches:
             items, out = texts(batch.column(position)), []
-            for lo, hi in slices([len(x) for x in items], 4 << 20):
+            for lo, hi in slices([len(x) for x in items], 1 << 20):
                 out.append(machine.score(*joined([features(x) for x in items[lo:hi]])))
             got = pa.array(np.concatenate(out) if out else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, "score"])
