@@ -106,8 +106,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     per = kept(source_targets(rows, weights, most), "mix-sources")
     # a number for each row of its source's leaf; the leaf follows from the row itself, not from where it lies
     joined = rows.join(per.hint("shuffle_hash"), rows.source.eqNullSafe(per.source)).drop(per.source) if per.count() > 10_000 else rows.join(F.broadcast(per), rows.source.eqNullSafe(per.source)).drop(per.source)
-    base = F.floor(F.col("copies") + F.lit(1e-9)).cast("int")
-    joined = joined.withColumn("base", base).withColumn("share", F.greatest(F.lit(0.0), F.col("copies") - base))
+    base = F.when(F.col("size") > 0, F.floor(F.col("copies") + F.lit(1e-9)).cast("int")).otherwise(0)
+    joined = joined.withColumn("base", base).withColumn("share", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), F.col("copies") - base)).otherwise(0.0))
     spread = F.xxhash64("doc_id", "digest", F.lit(seed))
     joined = joined.withColumn("leaf", F.pmod(spread, F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(fan_in)))))
     leaf_out = "doc_id long, source string, size long, source_size long, target double, base int, digest long, leaf long, extra int, share double"
