@@ -76,7 +76,7 @@ def fingerprint(docs: DataFrame, scale: int = SCALE, width: int = SHINGLE) -> Da
     def run(batches):
         for batch in batches:
             keys, items = batch.column("doc_id").to_pylist(), texts(batch.column("text"))
-            for lo, hi in slices([len(x) for x in items]):
+            for lo, hi in slices([len(x) for x in items], 1 << 20):
                 found = sketches(items[lo:hi], scale, width)
                 yield record_batch(schema, doc_id=keys[lo:hi], n_retained=[len(x) for x in found], fingerprint=[spelled(t, x) for t, x in zip(items[lo:hi], found, strict=True)])
 
@@ -160,7 +160,7 @@ def compare_edited(docs: DataFrame, scale: int = SCALE, width: int = SHINGLE) ->
         for row in pairs(batches):
             held.append(row)
             size += len(row[1])
-            if size > 4 << 20:
+            if size > 1 << 20:
                 yield emitted(held)
                 held, size = [], 0
         if held:
