@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +19,10 @@ from ionloom.llm.sampling import held_out, labelled_sample
 from ionloom.llm.shared import slices, small_batches, texts
 
 FEATURE_BITS = 17
+#: Features of a token; those that may mark it as toxic (not the shortest beginning, nor the ending).
+FORMS, TELLING = 6, [0, 2, 3, 4]
+#: Tokens that training passes through the chain at a time.
+CHAIN_TOKENS = 400_000
 #: A text counts as toxic from this score on, a token from this marginal on.
 THRESHOLD = 0.5
 BLOCK = 64
@@ -33,14 +36,17 @@ _STRIP = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¿¡…“”‘
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def forms(token: bytes) -> list[str]:
-    """The features of a token: its word in lower case without marks around it, its beginnings and its ending."""
+def forms(token: bytes) -> list[int]:
+    """Hashes of a token's features: its word in lower case without marks around it, its beginnings of 3 to 6 letters, its ending; 0 for what it hasn't."""
     word = token.decode("utf-8", "replace").lower().strip(_STRIP)
-    return ["w" + word, *(f"p{n}{word[:n]}" for n in (3, 4, 5, 6) if len(word) > n), "s" + word[-3:]]
+    if not word:
+        return [0] * FORMS
+    return [zlib.crc32(b"w" + word.encode()), *(zlib.crc32(f"p{n}{word[:n]}".encode()) if len(word) > n else 0 for n in (3, 4, 5, 6)), zlib.crc32(b"s" + word[-3:].encode())]
 
 
-def slots(token: bytes) -> list[int]:
-    return [zlib.crc32(f.encode()) & ((1 << FEATURE_BITS) - 1) for f in forms(token)]
+def slots(found: np.ndarray) -> np.ndarray:
+    """Places of features in the weights; the last is for absent ones and stays 0."""
+    return np.where(found == 0, 1 << FEATURE_BITS, found & ((1 << FEATURE_BITS) - 1)).astype(np.int64)
 
 
 class Chain:
@@ -49,15 +55,15 @@ class Chain:
     def __init__(self, first: np.ndarray, step: np.ndarray):
         self.first, self.step = first, step  # exponentials of the start's and the transitions' weights
 
-    def marginals(self, emission: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """The probability that each token is toxic; expected transitions, summed; the log of the normaliser.
+    def marginals(self, emission: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The probability that each token is toxic; expected transitions, summed.
 
         Forward-backward over blocks of BLOCK tokens at once: the blocks' matrix products first, then what enters and
         leaves each block, then the tokens inside.
         """
         n = len(emission)
         if not n:
-            return np.zeros(0), np.zeros((2, 2)), 0.0
+            return np.zeros(0), np.zeros((2, 2))
         nb = -(-n // BLOCK)
         e = np.zeros(nb * BLOCK)
         e[:n] = np.clip(emission, -30, 30)
@@ -90,11 +96,9 @@ class Chain:
             x, y = x / (x + y), y / (x + y)
         alpha = np.empty((2, BLOCK + 1, nb))
         alpha[0, 0], alpha[1, 0] = a0, a1
-        log_z = 0.0
         for t in range(BLOCK):
             a0, a1 = a0 * m00[t] + a1 * m10[t], a0 * m01[t] + a1 * m11[t]
             total = a0 + a1
-            log_z += float(np.log(total).sum())
             a0, a1 = a0 / total, a1 / total
             alpha[0, t + 1], alpha[1, t + 1] = a0, a1
         out = np.empty((BLOCK, nb))
@@ -109,7 +113,7 @@ class Chain:
             b0, b1 = m00[t] * b0 + m01[t] * b1, m10[t] * b0 + m11[t] * b1
             total = b0 + b1
             b0, b1 = b0 / total, b1 / total
-        return out.T.ravel()[:n], pairs, log_z
+        return out.T.ravel()[:n], pairs
 
 
 class Tagger:
@@ -125,9 +129,8 @@ class Tagger:
             memo.clear()
         fresh = [w for w in set(tokens) if w not in memo]
         if fresh:
-            found = [slots(w) for w in fresh]
-            at = np.concatenate([[0], np.cumsum([len(x) for x in found])[:-1]])
-            memo.update(zip(fresh, np.add.reduceat(weights[[i for x in found for i in x]], at).tolist(), strict=True))
+            found = slots(np.array([forms(w) for w in fresh], np.uint32))
+            memo.update(zip(fresh, weights[found].sum(1).tolist(), strict=True))
         return np.array([memo[w] for w in tokens], np.float64)
 
     def tag(self, items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,81 +171,85 @@ def without_copies(items: list[bytes], most_shared: float = 0.3) -> list[int]:
     return out
 
 
-def toxic_forms(words: list[set[bytes]], y: np.ndarray) -> set[str]:
-    """Forms found in toxic texts so much more than in others that chance among all forms is out of the question."""
-    toxic, clean = Counter(), Counter()
-    memo: dict[bytes, list[str]] = {}
-    for own, label in zip(words, y, strict=True):
-        found = set()
-        for w in own:
-            if w not in memo:
-                memo[w] = [f for f in forms(w) if f[0] == "w" or f[0] == "p" and f[1] != "3"]
-            found.update(memo[w])
-        (toxic if label else clean).update(found)
-    n_toxic, n_clean = int(y.sum()), int(len(y) - y.sum())
-    if not n_toxic or not n_clean:
-        return set()
-    share = n_toxic / len(y)
-    out = set()
-    for f, k in toxic.items():
-        other = clean[f]
-        # log-likelihood ratio of k toxic texts against what the classes' sizes make likely
-        p = k / (k + other)
-        gain = k * np.log(p / share) + (other * np.log((1 - p) / (1 - share)) if other else 0)
-        if p >= 0.8 and p > share and gain > np.log(len(toxic) + 1) + 3 and len(f) > 1:
-            out.add(f)
-    return out
+def toxic_words(found: np.ndarray, documents: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Which words have a form that is found in toxic texts so much more than in others that chance among all forms is out of the question.
+
+    found: the forms of each word; documents: the distinct words of each text.
+    """
+    telling = found[:, TELLING]
+    names, place = np.unique(telling, return_inverse=True)
+    place = place.reshape(telling.shape)
+    toxic, clean = np.zeros(len(names)), np.zeros(len(names))
+    for own, label in zip(documents, y, strict=True):
+        (toxic if label else clean)[np.unique(place[own])] += 1
+    share = y.sum() / len(y)
+    p = toxic / np.maximum(1, toxic + clean)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # log-likelihood ratio against what the classes' sizes make likely
+        gain = np.where(toxic > 0, toxic * np.log(p / share), 0) + np.where(clean > 0, clean * np.log((1 - p) / (1 - share)), 0)
+    signs = (p >= 0.8) & (p > share) & (gain > np.log((toxic > 0).sum() + 1) + 3) & (names != 0)
+    return signs[place].any(1)
 
 
 def train(items: list[bytes], y: np.ndarray, steps: int = STEPS, rate: float = 0.3) -> Tagger:
     """Adam on the field's log-likelihood, then a logistic regression on its marginals. Without both classes, a constant score."""
     size = 1 << FEATURE_BITS
-    weights, theta = np.zeros(size), np.zeros(6)  # first 2, step 4
+    weights, theta = np.zeros(size + 1), np.zeros(6)  # first 2, step 4
     share = (y.sum() + 1) / (len(y) + 2)
     constant = Tagger(weights, np.ones(2), np.ones((2, 2)), np.array([np.log(share / (1 - share)), 0.0, 0.0]))
     if len(set(y.tolist())) < 2:
         return constant
     kept = without_copies(items)
-    items, y = [items[i] for i in kept], y[kept]
+    y = y[kept]
     if len(set(y.tolist())) < 2:
         return constant
-    words = [x.split() for x in items]
-    signs = toxic_forms([set(w) for w in words], y)
     vocabulary: dict[bytes, int] = {}
-    ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for ws in words for w in ws], np.int64)
-    lengths = np.array([len(w) for w in words])
+    words = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in items[i].split()], np.int32) for i in kept]
+    found = np.array([forms(w) for w in vocabulary], np.uint32).reshape(-1, FORMS)
+    del vocabulary
+    ids, lengths = np.concatenate(words), np.array([len(w) for w in words])
     starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
     if not len(ids):
         return constant
-    of_word = [slots(w) for w in vocabulary]
-    owner = np.repeat(np.arange(len(of_word)), [len(s) for s in of_word])
-    slot = np.array([s for own in of_word for s in own], np.int64)
-    marked = np.array([any(f in signs for f in forms(w)) for w in vocabulary])
+    marked = toxic_words(found, [np.unique(w) for w in words], y)
+    slot = slots(found)
+    del found, words
     gold = marked[ids] & np.repeat(y.astype(bool), lengths)
     inside = np.ones(len(ids), bool)
     inside[starts[:-1][lengths > 0]] = False
     before = np.flatnonzero(inside) - 1
-    counted = np.zeros((2, 2))
-    np.add.at(counted, (gold[before].astype(int), gold[before + 1].astype(int)), 1)
+    counted = np.bincount(gold[before] * 2 + gold[before + 1], minlength=4).astype(float)
+    del before
     at_first = np.bincount(gold[~inside].astype(int), minlength=2).astype(float)
+    cuts = [0, *(np.searchsorted(starts, np.arange(CHAIN_TOKENS, starts[-1], CHAIN_TOKENS))).tolist(), len(lengths)]
+
+    def passed(chain: Chain) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals and transitions of all texts, some at a time."""
+        of_word, p, pairs = weights[slot].sum(1), np.empty(len(ids)), np.zeros((2, 2))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            a, b = starts[lo], starts[hi]
+            p[a:b], own = chain.marginals(of_word[ids[a:b]], starts[lo:hi] - a)
+            pairs += own
+        return p, pairs
+
     scale = 1 / max(1, gold.sum())
     m, v = np.zeros(size + 6), np.zeros(size + 6)
     for k in range(1, steps + 1):
-        emission = np.bincount(owner, weights[slot], len(of_word))[ids]
-        chain = Chain(np.exp(theta[:2]), np.exp(theta[2:].reshape(2, 2)))
-        p, pairs, _ = chain.marginals(emission, starts[:-1])
-        by_word = np.bincount(ids, p - gold, len(of_word))
-        first = np.bincount([0, 1], [(1 - p[~inside]).sum(), p[~inside].sum()])
-        grad = np.concatenate([np.bincount(slot, by_word[owner], size), first - at_first, (pairs - counted).ravel()]) * scale
-        grad[:size] += 1e-4 * weights
+        p, pairs = passed(Chain(np.exp(theta[:2]), np.exp(theta[2:].reshape(2, 2))))
+        by_word = np.bincount(ids, p - gold, len(slot))
+        of_slot = np.zeros(size + 1)
+        for c in range(FORMS):
+            of_slot += np.bincount(slot[:, c], by_word, size + 1)
+        first = np.array([(1 - p[~inside]).sum(), p[~inside].sum()])
+        grad = np.concatenate([of_slot[:size], first - at_first, pairs.ravel() - counted]) * scale
+        grad[:size] += 1e-4 * weights[:size]
         m += 0.1 * (grad - m)
         v += 0.05 * (grad * grad - v)
         move = rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.95**k)) + 1e-6)
-        weights -= move[:size]
+        weights[:size] -= move[:size]
         theta -= move[size:]
     tagger = Tagger(weights, np.exp(theta[:2]), np.exp(theta[2:].reshape(2, 2)), np.zeros(3))
-    p, _, _ = tagger.chain.marginals(np.bincount(owner, weights[slot], len(of_word))[ids], starts[:-1])
-    x, w = aggregated(p, starts), np.array([np.log(share / (1 - share)), 0.0, 0.0])
+    x, w = aggregated(passed(tagger.chain)[0], starts), np.array([np.log(share / (1 - share)), 0.0, 0.0])
     for _ in range(50):  # Newton steps on the penalised logistic loss
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hessian = (x * (q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(3)
@@ -286,7 +293,7 @@ def score(docs: DataFrame, tagger: Tagger, threshold: float = THRESHOLD, with_sp
         own = Tagger(*sent.value)
         for batch in batches:
             items, keys = texts(batch.column("text")), batch.column("doc_id")
-            for lo, hi in slices([len(x) for x in items], 4 << 20):
+            for lo, hi in slices([len(x) for x in items], 1 << 20):
                 p, starts = own.tag(items[lo:hi])
                 toxic = np.concatenate([[0], np.cumsum(p >= threshold)])
                 n_toxic = toxic[starts[1:]] - toxic[starts[:-1]]
