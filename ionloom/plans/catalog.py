@@ -78,10 +78,10 @@ def flag_near_mass(spark, d):
     return quant.near_flags(clusters(spark, d).drop("bflag"), 0.025).select("id", "bflag", "cflag", "bedflag")
 
 
-@query(f"WITH c AS ({CLUSTERS}), h AS (SELECT DISTINCT 'S' || CAST(id % 3 AS VARCHAR) AS sample, mz FROM c WHERE id % 17 = 0) SELECT id, (SELECT string_agg(s, ';' ORDER BY s) FROM (SELECT DISTINCT sample AS s FROM h WHERE abs(h.mz - c.mz) <= 0.05)) AS hflag FROM c")
+@query(f"WITH c AS ({CLUSTERS}), h AS (SELECT DISTINCT 'S' || CAST(id % 3 AS VARCHAR) AS sample, mz FROM c WHERE base_peak_int > 940) SELECT id, (SELECT string_agg(s, ';' ORDER BY s) FROM (SELECT DISTINCT sample AS s FROM h WHERE abs(h.mz - c.mz) <= 0.05)) AS hflag FROM c")
 def hit_samples(spark, d):
     own = clusters(spark, d)
-    hits = own.where("id % 17 = 0").select(F.concat(F.lit("S"), (F.col("id") % 3).cast("string")).alias("sample"), "mz")
+    hits = own.where("base_peak_int > 940").select(F.concat(F.lit("S"), (F.col("id") % 3).cast("string")).alias("sample"), "mz")
     return quant.hit_samples(own.select("id", "mz"), hits, 0.05).select("id", F.array_join("hflag", ";").alias("hflag"))
 
 
@@ -254,9 +254,9 @@ def intensity_scaling(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (mil(S.scaled(x, 0) - 1) + 1).alias("log_scaled"), mil(S.scaled(x, 0.5)).alias("root_scaled"))
 
 
-@query(f"WITH pk AS ({PEAKS}), s AS (SELECT id, id % 40 + 20 AS p, mz, intensity, max(intensity) OVER (PARTITION BY id) AS top FROM pk), k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY intensity DESC, mz) AS r FROM s WHERE intensity >= 0.4 * top AND mz BETWEEN 5 AND 45) SELECT id, count(*) AS n, min(mz) AS low, max(mz) AS high FROM k WHERE r <= 12 GROUP BY 1")
+@query(f"WITH pk AS ({PEAKS}), s AS (SELECT id, id % 40 + 20 AS p, mz, intensity, max(intensity) OVER (PARTITION BY id) AS top FROM pk), k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY intensity DESC, mz) AS r FROM s WHERE intensity >= 0.4 * top AND mz BETWEEN 15 AND 90) SELECT id, count(*) AS n, min(mz) AS low, max(mz) AS high FROM k WHERE r <= 12 GROUP BY 1")
 def display_peaks(spark, d):
-    own = spectra(spark, d).select("id", S.display_filter(F.col("peaks"), 0.4, 5.0, 45.0, 12).alias("p")).where(F.size("p") > 0)
+    own = spectra(spark, d).select("id", S.display_filter(F.col("peaks"), 0.4, 15.0, 90.0, 12).alias("p")).where(F.size("p") > 0)
     return own.select("id", F.size("p").cast("long").alias("n"), F.element_at("p", 1)["mz"].alias("low"), F.element_at("p", -1)["mz"].alias("high"))
 
 
@@ -315,9 +315,9 @@ def components(spark, d):
     return graph.components(graph.thresholded(cosines(spark, d), 0.78), peaks(spark, d).select("id").distinct())
 
 
-@query(_RECURSIVE + ", r(id, n) AS (SELECT id, 0 FROM nm WHERE id % 30 = 0 UNION SELECT e.b, r.n + 1 FROM r JOIN e ON e.a = r.id WHERE r.n < 3) SELECT id, min(n) AS distance FROM r GROUP BY 1")
+@query(_RECURSIVE + ", r(id, n) AS (SELECT id, 0 FROM nm WHERE id < 10 UNION SELECT e.b, r.n + 1 FROM r JOIN e ON e.a = r.id WHERE r.n < 3) SELECT id, min(n) AS distance FROM r GROUP BY 1")
 def blank_distance(spark, d):
-    return graph.distance_from(graph.thresholded(cosines(spark, d), 0.78), peaks(spark, d).where("id % 30 = 0").select("id").distinct())
+    return graph.distance_from(graph.thresholded(cosines(spark, d), 0.78), peaks(spark, d).where("id < 10").select("id").distinct())
 
 
 @query()
@@ -359,10 +359,10 @@ def protonated_network(spark, d):
     return graph.protonated_networks(edges.withColumnsRenamed({"src": "id_a", "dst": "id_b"}), cosines(spark, d), known, 1, 6, 15, 200)[1]
 
 
-@query(COSINES + ", t AS (SELECT id_a, id_b, 'x' || CAST(id_a % 3 AS VARCHAR) AS annotation FROM cos WHERE id_a % 4 = 0) SELECT c.id_a, c.id_b, c.cosine, t.annotation FROM cos c LEFT JOIN t USING (id_a, id_b) WHERE c.cosine >= 0.6")
+@query(COSINES + ", t AS (SELECT id_a, id_b, 'x' || CAST(id_a % 3 AS VARCHAR) AS annotation FROM cos WHERE matched > 20) SELECT c.id_a, c.id_b, c.cosine, t.annotation FROM cos c LEFT JOIN t USING (id_a, id_b) WHERE c.cosine >= 0.6")
 def described_edges(spark, d):
     own = cosines(spark, d)
-    texts = own.where("id_a % 4 = 0").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), F.concat(F.lit("x"), (F.col("id_a") % 3).cast("string")).alias("annotation"))
+    texts = own.where("matched > 20").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), F.concat(F.lit("x"), (F.col("id_a") % 3).cast("string")).alias("annotation"))
     return graph.described(graph.thresholded(own, 0.6), texts).select("id_a", "id_b", "cosine", "annotation")
 
 
@@ -573,9 +573,9 @@ def top_unmatched(spark, d):
     return preprocess.top_unmatched(_matched(spark, d)).select("sample", "mz", "freq")
 
 
-@query("WITH m AS (SELECT user_id % 50 AS k, count(*) AS n FROM events WHERE event_id % 7 <> 0 AND user_id % 3 <> 0 GROUP BY 1) SELECT CASE WHEN n IS NULL THEN CAST(i AS VARCHAR) || '_NOPEAKS' ELSE CAST(i AS VARCHAR) END AS peak_id, coalesce(n, 0) AS ms2_matches FROM range(60) t(i) LEFT JOIN m ON m.k = i")
+@query("WITH m AS (SELECT user_id % 50 AS k, count(*) AS n FROM events WHERE event_id % 7 <> 0 GROUP BY 1) SELECT CASE WHEN n IS NULL THEN CAST(i AS VARCHAR) || '_NOPEAKS' ELSE CAST(i AS VARCHAR) END AS peak_id, coalesce(n, 0) AS ms2_matches FROM range(60) t(i) LEFT JOIN m ON m.k = i")
 def split_by_spectra(spark, d):
-    own = table(spark, d, "events").select((F.col("user_id") % 50).cast("string").alias("peak_id"), (F.col("event_id") % 7 == 0).alias("is_fake"), "user_id").where("user_id % 3 <> 0")
+    own = table(spark, d, "events").select((F.col("user_id") % 50).cast("string").alias("peak_id"), (F.col("event_id") % 7 == 0).alias("is_fake"))
     with_ms2, without = preprocess.split_by_spectra(spark.range(60).select(F.col("id").cast("string").alias("peak_id")), own)
     return with_ms2.unionByName(without)
 

@@ -38,14 +38,15 @@ CLUSTERS = """SELECT p_partkey AS id, p_retailprice AS mz, p_size * 10.0::DOUBLE
 
 
 def peaks(spark: SparkSession, d: str) -> DataFrame:
-    """300 spectra by supplier and return flag: integer masses by quantity, integer intensities by price."""
+    """300 spectra by supplier and return flag: integer masses by part and spectrum, integer intensities by price."""
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
-    own = table(spark, d, "lineitem").select(((F.col("l_suppkey") % 100) * 3 + flag).alias("id"), F.col("l_quantity").alias("mz"), F.floor("l_extendedprice").alias("v"), (F.col("l_orderkey") % 4).alias("part"))
-    return own.where("part = id % 4").groupBy("id", "mz").agg(F.sum("v").cast("double").alias("intensity"))
+    own = table(spark, d, "lineitem").select(((F.col("l_suppkey") % 100) * 3 + flag).alias("id"), "l_partkey", F.floor("l_extendedprice").alias("v"))
+    own = own.withColumn("mz", (((F.col("l_partkey") % 40) * (F.col("id") % 5 + 1)) % 120 + 10).cast("double"))
+    return own.groupBy("id", "mz").agg(F.sum("v").cast("double").alias("intensity"))
 
 
-PEAKS = """SELECT id, mz, CAST(sum(v) AS DOUBLE) AS intensity FROM (SELECT (l_suppkey % 100) * 3 + CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1 ELSE 2 END AS id, l_quantity AS mz,
- CAST(floor(l_extendedprice) AS BIGINT) AS v, l_orderkey % 4 AS part FROM lineitem) WHERE part = id % 4 GROUP BY id, mz"""
+PEAKS = """SELECT id, CAST(((p % 40) * (id % 5 + 1)) % 120 + 10 AS DOUBLE) AS mz, CAST(sum(v) AS DOUBLE) AS intensity FROM (SELECT (l_suppkey % 100) * 3 + CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1 ELSE 2 END AS id, l_partkey AS p,
+ CAST(floor(l_extendedprice) AS BIGINT) AS v FROM lineitem) GROUP BY 1, 2"""
 
 
 def spectra(spark: SparkSession, d: str) -> DataFrame:
