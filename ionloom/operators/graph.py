@@ -7,21 +7,26 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 MOST_ROUNDS = 60
 #: Edges of a component that one task prunes.
 IN_MEMORY = 1_000_000
 
 
-def cut(df: DataFrame, what: str = "graph") -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir and read again, so that loops don't grow the plan."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors see; a local one only where none is set, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
         where = "file://" + tempfile.mkdtemp(prefix="ionloom-")
         spark.sparkContext.setCheckpointDir(where)
-    path = f"{where}/{what}-{uuid.uuid4().hex}"
+    return where
+
+
+def cut(df: DataFrame, what: str = "graph") -> DataFrame:
+    """df written to the shared folder and read again, so that loops don't grow the plan."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

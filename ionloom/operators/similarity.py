@@ -92,6 +92,23 @@ def shared_proportion(peaks: DataFrame) -> DataFrame:
     return met.select("id_a", "id_b", F.least(F.lit(1.0), 2 * F.col("common") / (F.col("n_a") + F.col("n_b"))).alias("share"))
 
 
+def binned_correlation(peaks: DataFrame, n_bins: int) -> DataFrame:
+    """id_a < id_b, corr: of intensities over n_bins bins of m/z (0 where a spectrum has no peak), for pairs with a bin in common."""
+    own = peaks.groupBy("id").agg(F.sum("intensity").alias("s"), F.sum(F.col("intensity") * F.col("intensity")).alias("q"))
+    a, b = peaks.alias("a"), peaks.alias("b")
+    met = a.join(b, (F.col("a.mz") == F.col("b.mz")) & (F.col("a.id") < F.col("b.id"))).groupBy(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).agg(F.sum(F.col("a.intensity") * F.col("b.intensity")).alias("p"))
+    side = lambda s: own.select(F.col("id").alias(f"id_{s}"), F.col("s").alias(f"s_{s}"), F.col("q").alias(f"q_{s}"))
+    met = met.join(side("a"), "id_a").join(side("b"), "id_b")
+    spread = lambda s: F.col(f"q_{s}") - F.col(f"s_{s}") * F.col(f"s_{s}") / n_bins
+    both = F.sqrt(spread("a") * spread("b"))
+    return met.select("id_a", "id_b", F.when((spread("a") > 0) & (spread("b") > 0), (F.col("p") - F.col("s_a") * F.col("s_b") / n_bins) / both).alias("corr"))
+
+
+def window_merged(peaks: DataFrame, width: float) -> DataFrame:
+    """id, mz, intensity, n: peaks (id, mz, intensity) of fixed windows of m/z as one each, at their mean m/z by intensity."""
+    return peaks.groupBy("id", F.floor(F.col("mz") / width).alias("_w")).agg((F.sum(F.col("mz") * F.col("intensity")) / F.sum("intensity")).alias("mz"), F.sum("intensity").alias("intensity"), F.count("*").alias("n")).drop("_w")
+
+
 def mixed_estimate(peaks: DataFrame, spectra: DataFrame, tolerance: float, least: float = 0.1) -> DataFrame:
     """The shared proportion where it is below `least`, else the exact cosine: id_a, id_b, similarity."""
     rough = shared_proportion(peaks)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ionloom.functions import kernels as K, scalars as S, stats
 from ionloom.operators import annotate, correlation, graph, islands, joins, library, preprocess, quant, similarity, symbolic
 from ionloom.plans.lenses import CLUSTERS, COSINES, MEMBERS, METADATA, PEAKS, clusters, cosines, members, metadata, peaks, spectra, table
+from ionloom.sources.mgf import read_mgf, write_mgf
 from ionloom.streaming.ingest import event_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -272,6 +274,32 @@ def annotation_text(spark, d):
     return own.withColumn("a", S.parsed_annotation(F.col("text"))).select("p_partkey", "text", "a.sim", "a.mz_error", "a.n_common")
 
 
+@query(f"WITH pk AS MATERIALIZED ({PEAKS}), o AS (SELECT id, sum(intensity) AS s, sum(intensity * intensity) AS q FROM pk GROUP BY 1), m AS (SELECT a.id AS id_a, b.id AS id_b, sum(a.intensity * b.intensity) AS p FROM pk a JOIN pk b ON a.mz = b.mz AND a.id < b.id GROUP BY 1, 2) SELECT id_a, id_b, floor((p - x.s * y.s / 130) / sqrt((x.q - x.s * x.s / 130) * (y.q - y.s * y.s / 130)) * 1e4 + 0.5) / 1e4 AS corr FROM m JOIN o x ON x.id = id_a JOIN o y ON y.id = id_b")
+def spectrum_correlation(spark, d):
+    return similarity.binned_correlation(peaks(spark, d), 130).withColumn("corr", _FOURTH(F.col("corr")))
+
+
+@query(f"SELECT id, floor(sum(mz * intensity) / sum(intensity) * 1e4 + 0.5) / 1e4 AS mz, sum(intensity) AS intensity, count(*) AS n FROM ({PEAKS}) GROUP BY id, floor(mz / 5)")
+def window_merge(spark, d):
+    return similarity.window_merged(peaks(spark, d), 5.0).withColumn("mz", _FOURTH(F.col("mz")))
+
+
+@query(f"SELECT id AS scans, CAST(id % 40 + 20 AS DOUBLE) AS precursor_mz, count(*) AS n, sum(mz) AS total FROM ({PEAKS}) GROUP BY 1, 2")
+def mgf_round_trip(spark, d):
+    own = spectra(spark, d).withColumnRenamed("id", "scans")
+    path = f"{graph.shared_folder(spark)}/mgf-{uuid.uuid4().hex}"
+    write_mgf(own, path)
+    return read_mgf(spark, path).select("scans", "precursor_mz", F.size("peaks").cast("long").alias("n"), F.aggregate("peaks", F.lit(0.0), lambda a, x: a + x["mz"]).alias("total"))
+
+
+@query(COSINES + " SELECT id_a, id_b, matched FROM cos WHERE cosine >= 0.9")
+def matched_peak_pairs(spark, d):
+    own = spectra(spark, d)
+    side = lambda s: own.select(F.col("id").alias(f"id_{s}"), F.col("peaks").alias(f"p_{s}"))
+    met = cosines(spark, d).where("cosine >= 0.9").select("id_a", "id_b").join(side("a"), "id_a").join(side("b"), "id_b")
+    return met.select("id_a", "id_b", F.size(K.matched_pairs_of(F.col("p_a"), F.col("p_b"), F.lit(0.0), 0.25)).cast("long").alias("matched"))
+
+
 @query()
 def joined_peaks(spark, d):
     own = spectra(spark, d).select("id", K.joined_peaks_of(F.col("peaks"), 1.5, F.col("precursor_mz")).alias("p"))
