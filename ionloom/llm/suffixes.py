@@ -87,7 +87,10 @@ def anchors(buffer: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tup
     return place, np.concatenate(hashes)[first]
 
 
-_ANCHOR = pa.schema([("hash", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64())])
+#: What an anchor's row is: the only one of its hash among some texts; one of several there, so known to be repeated and
+#: dealt out by place, not by hash; or, once for those, a row without place that tells others of the hash.
+ALONE, SEVERAL, TELLS = 0, 1, 2
+_ANCHOR = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("ord", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64())])
 
 
 def _find_anchors(length: int):
@@ -99,13 +102,21 @@ def _find_anchors(length: int):
                 buffer, starts = flat(items[lo:hi])
                 place, h = anchors(buffer, starts, length)
                 owner = np.searchsorted(starts, place, "right") - 1
-                yield record_batch(_ANCHOR, hash=h.view(np.int64), ord=ord_[lo + owner], tie=tie[lo + owner], pos=place - starts[owner])
+                names, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+                several = count[inverse] > 1
+                own_ord, own_tie, pos = ord_[lo + owner], tie[lo + owner], place - starts[owner]
+                spread = (own_ord.astype(np.uint64) * _C[0] + pos.astype(np.uint64) * _C[1]) ^ own_tie.view(np.uint64)
+                told = np.flatnonzero(count > 1)
+                key = np.concatenate([np.where(several, spread, h), names[told]]).view(np.int64)
+                kind = np.concatenate([np.where(several, SEVERAL, ALONE), np.full(len(told), TELLS)]).astype(np.int32)
+                none = np.zeros(len(told), np.int64)
+                yield record_batch(_ANCHOR, key=key, kind=kind, ord=np.concatenate([own_ord, none]), tie=np.concatenate([own_tie, none]), pos=np.concatenate([pos, none]))
 
     return run
 
 
 def _repeated(batches):
-    """Of rows sorted by hash, those whose hash another row has too. One row is held back."""
+    """Of rows sorted by key, those of hashes that another row has too, and those known to be. One row is held back."""
     held = None
     schema = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64())])
     before = None
@@ -113,17 +124,17 @@ def _repeated(batches):
         if not batch.num_rows:
             continue
         rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        h = rows.column("hash").to_numpy()
+        h, kind = rows.column("key").to_numpy(), rows.column("kind").to_numpy()
         same = np.zeros(len(h) + 1, bool)
         same[1:-1] = h[1:] == h[:-1]
         same[0] = before is not None and before == h[0]
-        often = same[:-1] | same[1:]
+        often = (kind == SEVERAL) | (kind == ALONE) & (same[:-1] | same[1:])
         done = len(h) - 1
         take = pa.array(np.flatnonzero(often[:done]))
         yield pa.RecordBatch.from_arrays([rows.column(c).take(take) for c in schema.names], schema=schema)
         held = rows.slice(done)
         before = h[done - 1] if done else before
-    if held is not None and before is not None and held.column("hash")[0].as_py() == before:
+    if held is not None and (held.column("kind")[0].as_py() == SEVERAL or held.column("kind")[0].as_py() == ALONE and before is not None and held.column("key")[0].as_py() == before):
         yield pa.RecordBatch.from_arrays([held.column(c) for c in schema.names], schema=schema)
 
 
@@ -325,11 +336,11 @@ def _find_spans(length: int):
     return run
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    """docs with ord and tie, by which documents follow each other."""
+def _ordered(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """docs with ord and tie, by which documents follow each other; whether ids repeat."""
     own = docs.withColumn("ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
     repeated = own.groupBy("ord").count().where("count > 1").limit(1).count()
-    return own.withColumn("tie", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) if repeated else F.lit(0).cast("long"))
+    return own.withColumn("tie", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) if repeated else F.lit(0).cast("long")), bool(repeated)
 
 
 def _met(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
@@ -337,11 +348,13 @@ def _met(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
     return docs.join(small, ["ord", "tie"], how)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, repeated: bool, length: int = LENGTH) -> DataFrame:
     """ord, tie, begins, ends for documents that have any: bytes covered by strings of `length` bytes that start earlier too. docs: text, ord, tie."""
     own = small_batches(docs).select("ord", "tie", F.col("text").cast("string").alias("text"))
-    found = own.mapInArrow(_find_anchors(length), "hash long, ord long, tie long, pos long")
-    again = found.repartition("hash").sortWithinPartitions("hash").mapInArrow(_repeated, "ord long, tie long, pos long")
+    if repeated:  # rows alike are one document
+        own = own.dropDuplicates(["ord", "tie"])
+    found = own.mapInArrow(_find_anchors(length), "key long, kind int, ord long, tie long, pos long")
+    again = found.repartition("key").sortWithinPartitions("key").mapInArrow(_repeated, "ord long, tie long, pos long")
     places = kept(again.groupBy("ord", "tie").agg(F.collect_list(F.col("pos")).alias("positions")), "suffix-anchors")
     contexts = _met(own, places, "inner").mapInArrow(_find_contexts(length), "key long, hash long, ord long, tie long, pos long, before int, after int, context binary")
     spans = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_find_spans(length), "ord long, tie long, begin long, end long")
@@ -368,8 +381,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     without id come last; those that share an id follow each other by a hash of their texts; rows alike in id and text
     are one document. Texts shorter than length stay whole. Extra columns play no part. No rows give no rows.
     """
-    own = _ordered(docs.select("doc_id", "text"))
-    met = _met(own, repeated_spans(own, length), "left")
+    own, repeated = _ordered(docs.select("doc_id", "text"))
+    met = _met(own, repeated_spans(own, repeated, length), "left")
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", span), ("kept", pa.binary())])
 
@@ -391,8 +404,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Characters of which a part is removed go as a whole.
     """
-    own = _ordered(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"))
-    met = _met(own, repeated_spans(own, length), "left")
+    own, repeated = _ordered(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"))
+    met = _met(own, repeated_spans(own, repeated, length), "left")
 
     def run(batches):
         for batch in batches:
