@@ -22,7 +22,9 @@ LENGTH = 100
 GRAM = 24
 #: Bytes that a numpy pass over a text holds at once; contexts that one refinement holds.
 CHUNK = 1 << 20
-CONTEXT_ROWS = 1 << 14
+CONTEXT_ROWS = 1 << 13
+#: Contexts among which a worker leaves out those alike before they are dealt out.
+COLLAPSED_ROWS = 1 << 14
 _LAST = (1 << 63) - 1
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -162,7 +164,7 @@ def _find_contexts(length: int):
         for batch in run(batches):
             held.append(batch)
             size += batch.num_rows
-            if size >= CONTEXT_ROWS:
+            if size >= COLLAPSED_ROWS:
                 yield first_only(held)
                 held, size = [], 0
         if held:
