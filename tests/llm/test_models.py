@@ -172,3 +172,25 @@ def test_no_training_text(spark):
     lone = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = language_model.score(frame(spark, [(lone, "only held out", "en", "s", None)])).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (4, 0, 0) and r.base_score == 0.0
+
+
+def test_contexts_of_words_outside_the_symbols_count(spark, monkeypatch):
+    # 400 words alike in ending, each always followed by the next one: none of them has a symbol of its own that tells
+    rows = [(i, " ".join(f"q{(i * 37 + k) % 400}zz" for k in range(60)), "en", "s", None) for i in range(300)]
+    scored = lambda: {r.doc_id: r for r in language_model.score(frame(spark, rows)).collect()}
+    got = scored()
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -0.5
+    monkeypatch.setattr(language_model, "KNOWN_PAIRS", 0)  # all pairs come by the join
+    assert {i: r.score for i, r in scored().items()} == pytest.approx({i: r.score for i, r in got.items()}, abs=1e-4)
+
+
+def test_probabilities_of_short_texts_add_up(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "KNOWN_WORDS", 3)
+    monkeypatch.setattr(language_model, "KNOWN_PAIRS", 3)
+    ids = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rng, words = random.Random(4), ["aa", "bb", "cc", "dd"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(3))), "en", "s", None) for i in range(400) if i not in ids]
+    tried = ["", *words, *[f"{a} {b}" for a in words for b in words], *[f"{a} {b} {c}" for a in words for b in words for c in words]]
+    got = [r.score for r in language_model.score(frame(spark, rows + [(i, t, "en", "s", None) for i, t in zip(ids, tried, strict=False)])).collect() if r.held_out]
+    assert len(got) == len(tried) and 0.8 < sum(10**x for x in got) <= 1
