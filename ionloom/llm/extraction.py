@@ -36,7 +36,8 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|</[^a-zA-Z][^>]*>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READ = {"class", "id", "role", "hidden", "aria-hidden"}
 _PART = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "tbody": {"tr", "tbody", "thead"}, "tfoot": {"tr", "tbody", "thead"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
@@ -92,7 +93,9 @@ def parse(text: str) -> Node:
                     break
         attrs = {}
         if m["attrs"] and not m["attrs"].isspace():
-            attrs = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTRIBUTE.finditer(m["attrs"])}
+            for a in _ATTRIBUTE.finditer(m["attrs"]):
+                if (name := a[1].lower()) in _READ:
+                    attrs.setdefault(name, a[2] or a[3] or a[4] or "")
         node = Node(tag, attrs)
         stack[-1].parts.append(node)
         if tag not in VOID and not m["attrs"].endswith("/"):

@@ -50,6 +50,13 @@ def test_odd_pages(spark):
     assert extraction.main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_words_in_values_and_longer_names_are_no_attributes():
+    for attrs in (' style="overflow:hidden"', ' title="The hidden valley"', " data-id='menu-3'", " data-class=ad", ' alt="id=menu"', " x-aria-hidden=true"):
+        assert extraction.extract(f"<body><article{attrs}><h1>T</h1><div{attrs}><p>Text</div></article></body>", set()) == "T\n\nText"
+    for attrs in (" hidden", ' title="x"hidden', " HIDDEN=''", " id = menu", " data-a=1 class='b ad'", ' aria-hidden="true"'):
+        assert extraction.extract(f"<article><p>a</p><div{attrs}><p>Text</div></article>", set()) == "a"
+
+
 def test_salted_join_gives_the_same(spark, small, monkeypatch):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     a = sorted(map(str, extraction.main_text(pages).collect()))
