@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ionloom.llm.shared import bytes_of, kept, record_batch, small_batches
 
-#: A subtree is template from so many pages of its host on, and from this share of them on.
+#: A subtree is template from so many different pages of its host on, and from this share of them on.
 LEAST_PAGES, LEAST_SHARE = 3, 0.05
+#: The same for blocks of text, such as paragraphs: they recur in plain writing as well.
+LEAST_TEXT_PAGES, LEAST_TEXT_SHARE = 20, 0.25
 #: A subtree that holds more than this share of a page's text is never template.
 MOST_OF_PAGE = 0.5
 #: Templates of all hosts are broadcast up to this size; beyond it they are joined by salted host.
@@ -159,20 +161,21 @@ def main_parts(root: Node) -> list[Node]:
     return [root]
 
 
-def candidates(root: Node) -> set[int]:
-    """Hashes of subtrees that may be template: containers in the main part; blocks of text as well where no article is marked."""
+def candidates(root: Node) -> tuple[int, set[int], set[int]]:
+    """A hash of the main part, and hashes of subtrees that may be template: containers in it; blocks of text where no article is marked."""
     parts = main_parts(root)
     total = sum(p.size for p in parts)
     marked = parts[0] is not root
-    found, todo = set(), list(parts)
+    found, blocks, todo = set(), set(), list(parts)
     while todo:
         node = todo.pop()
         for p in node.parts:
             if type(p) is Node and p.size and not unwanted(p, marked):
                 if p.tag in BLOCKS and p.size <= MOST_OF_PAGE * total and not (marked and p.tag in _TEXT_BLOCKS):
-                    found.add(p.key)
+                    (blocks if p.tag in _TEXT_BLOCKS else found).add(p.key)
                 todo.append(p)
-    return found
+    page = xxhash.xxh3_64(b"".join(k.to_bytes(8, "little") for k in (*(p.key for p in parts), *sorted(found), *sorted(blocks)))).intdigest()
+    return page, found, blocks
 
 
 def extract(text: str, templates: set[int]) -> str:
@@ -220,25 +223,34 @@ def host_of(url):
 
 
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """host, templates: hashes of subtrees that recur on enough pages of the host. Their number is bounded by what a page holds over least_share."""
-    schema = pa.schema([("host", pa.string()), ("key", pa.int64())])
+    """host, templates: hashes of subtrees that recur on enough different pages of the host. Their number is bounded by what a page holds over least_share.
+
+    Pages whose main parts are alike are one page: what copies of an article share isn't template.
+    """
+    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("found", pa.list_(pa.int64())), ("blocks", pa.list_(pa.int64()))])
+    signed = lambda k: k - (1 << 64) if k >> 63 else k
 
     def run(batches):
         for batch in batches:
-            hosts, keys = [], []
-            for host, raw in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            pages, found, blocks = [], [], []
+            for raw in batch.column("html").to_pylist():
                 root = parse(raw or "")
                 measure(root)
-                found = candidates(root)
-                hosts += [host] * (len(found) + 1)
-                keys += [None, *(k - (1 << 64) if k >> 63 else k for k in sorted(found))]
-            yield record_batch(schema, host=hosts, key=keys)
+                page, some, others = candidates(root)
+                pages.append(signed(page))
+                found.append([signed(k) for k in sorted(some)])
+                blocks.append([signed(k) for k in sorted(others)])
+            yield record_batch(schema, host=batch.column("host"), page=pages, found=found, blocks=blocks)
 
     own = pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string")).where("host != ''")
-    counted = own.mapInArrow(run, "host string, key long").groupBy("host", "key").agg(F.count("*").alias("n"))
+    different = own.mapInArrow(run, "host string, page long, found array<long>, blocks array<long>").groupBy("host", "page").agg(F.first("found").alias("found"), F.first("blocks").alias("blocks"))
+    named = lambda name, text: F.transform(name, lambda x: F.struct(x.alias("key"), F.lit(text).alias("text")))
+    lone = F.array(F.struct(F.lit(None).cast("long").alias("key"), F.lit(False).alias("text")))
+    counted = different.select("host", F.explode(F.concat(lone, named("found", False), named("blocks", True))).alias("x")).groupBy("host", "x.key", "x.text").agg(F.count("*").alias("n"))
     # the row without a key counts the host's pages
-    per_host = counted.groupBy("host").agg(F.max(F.when(F.col("key").isNull(), F.col("n"))).alias("pages"), F.collect_list(F.when(F.col("key").isNotNull() & (F.col("n") >= least_pages), F.struct("key", "n"))).alias("found"))
-    often = F.filter("found", lambda x: x["n"] >= F.col("pages") * least_share)
+    enough = F.col("key").isNotNull() & (F.col("n") >= F.when(F.col("text"), max(least_pages, LEAST_TEXT_PAGES)).otherwise(least_pages))
+    per_host = counted.groupBy("host").agg(F.max(F.when(F.col("key").isNull(), F.col("n"))).alias("pages"), F.collect_list(F.when(enough, F.struct("key", "text", "n"))).alias("found"))
+    often = F.filter("found", lambda x: x["n"] >= F.col("pages") * F.when(x["text"], max(least_share, LEAST_TEXT_SHARE)).otherwise(least_share))
     return per_host.select("host", F.transform(often, lambda x: x["key"]).alias("templates")).where(F.size("templates") > 0)
 
 
@@ -246,7 +258,7 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     """page_id, url, text, n_chars for every row of pages.
 
     Null and empty html give an empty text. A page whose url is null or names no host has no template; the rest holds for
-    it too. Repeated rows count as pages of their own. Extra columns play no part. No rows give no rows.
+    it too. Pages of a host with the same main part count once for its template. Extra columns play no part. No rows give no rows.
     """
     own = small_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host_of(F.col("url")))
     known = kept(templates(pages, least_pages, least_share), "html-templates")

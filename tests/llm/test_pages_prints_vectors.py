@@ -57,6 +57,20 @@ def test_words_in_values_and_longer_names_are_no_attributes():
         assert extraction.extract(f"<article><p>a</p><div{attrs}><p>Text</div></article>", set()) == "a"
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    plain = "<body><div><p>First part of it</p><p>Second part</p><p>Third one</p></div></body>"
+    marked = "<article><h1>T</h1><section><p>One</p></section><div><p>Two</p></div><p>Three and more words</p></article>"
+    rows = [(k, "http://a.example/", plain) for k in range(30)] + [(k + 30, "http://b.example/", marked) for k in range(30)]
+    got = {r.text for r in extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {"First part of it\n\nSecond part\n\nThird one", "T\n\nOne\n\nTwo\n\nThree and more words"}
+
+
+def test_paragraphs_on_a_few_pages_stay(spark):
+    rows = [(k, "http://a.example/", f"<body><p>Page {k} of many pages</p><p>It goes on {k * 7}</p>{'<p>As we said before.</p>' if k < 4 else ''}</body>") for k in range(40)]
+    got = {r.page_id: r.text for r in extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == "Page 3 of many pages\n\nIt goes on 21\n\nAs we said before."
+
+
 def test_salted_join_gives_the_same(spark, small, monkeypatch):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     a = sorted(map(str, extraction.main_text(pages).collect()))
