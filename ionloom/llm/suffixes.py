@@ -6,6 +6,10 @@ once drop out. Contexts: around each repeated anchor, the bytes that a string th
 refinement: the contexts' suffixes start in buckets by their first eight bytes; buckets are refined by sorting on the
 bucket identifiers of later offsets, 8, 16, 32, ... bytes on, where each round reuses the identifiers that the one before
 has updated, until suffixes agree to the full length. Buckets of one suffix drop out as they appear.
+
+No task holds all contexts of an anchor. Where more of them differ than a worker refines at once, they are dealt out anew,
+twice: by the core (the anchor at first) with half of the missing bytes before it, and with half of them after it. Each
+string through the core holds one of these longer cores. After seven such rounds a core is a whole string.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from ionloom.llm.shared import flat, kept, record_batch, slices, small_batches, texts
 
@@ -140,7 +144,8 @@ def _repeated(batches):
         yield pa.RecordBatch.from_arrays([held.column(c) for c in schema.names], schema=schema)
 
 
-_CONTEXT = pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64()), ("before", pa.int32()), ("after", pa.int32()), ("context", pa.binary())])
+_CONTEXT = pa.schema([("key", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("pos", pa.int64()), ("before", pa.int32()), ("after", pa.int32()), ("context", pa.binary())])
+_CONTEXT_SQL = "key long, ord long, tie long, pos long, before int, after int, context binary"
 
 
 def _find_contexts(length: int):
@@ -150,13 +155,15 @@ def _find_contexts(length: int):
         for batch in batches:
             items, positions = texts(batch.column("text")), batch.column("positions").to_pylist()
             for key, tie, raw, own in zip(batch.column("ord").to_pylist(), batch.column("tie").to_pylist(), items, positions, strict=True):
-                pos = np.unique(np.array(own, np.int64))
-                start, end = np.maximum(0, pos - reach), np.minimum(len(raw), pos + length)
-                grams = np.frombuffer(raw, np.uint8)[pos[:, None] + np.arange(GRAM)[None, :]].view("<u8")
-                h = _mixed(grams[:, 0], grams[:, 1], grams[:, 2]).view(np.int64)
-                found = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-                n = len(pos)
-                yield record_batch(_CONTEXT, key=h, hash=h, ord=np.full(n, key), tie=np.full(n, tie), pos=pos, before=(pos - start).astype(np.int32), after=(end - pos).astype(np.int32), context=found)
+                every, whole = np.unique(np.array(own, np.int64)), np.frombuffer(raw, np.uint8)
+                for at in range(0, len(every), COLLAPSED_ROWS):
+                    pos = every[at : at + COLLAPSED_ROWS]
+                    start, end = np.maximum(0, pos - reach), np.minimum(len(raw), pos + length)
+                    grams = whole[pos[:, None] + np.arange(GRAM)[None, :]].view("<u8")
+                    h = _mixed(grams[:, 0], grams[:, 1], grams[:, 2]).view(np.int64)
+                    found = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+                    n = len(pos)
+                    yield record_batch(_CONTEXT, key=h, ord=np.full(n, key), tie=np.full(n, tie), pos=pos, before=(pos - start).astype(np.int32), after=(end - pos).astype(np.int32), context=found)
 
     def collapsed(batches):
         """Contexts alike, within some texts: all but the first are sent on without their bytes, by any key."""
@@ -183,7 +190,7 @@ def _find_contexts(length: int):
 
 
 def _matrix(rows, length: int) -> tuple[np.ndarray, ...]:
-    """Contexts as rows of bytes with the anchor at one place; their anchors' hashes; bytes before and from the anchor."""
+    """Contexts as rows of bytes with the anchor at one place; their keys; bytes before and from the anchor."""
     reach = length - GRAM
     before, after = rows.column("before").to_numpy().astype(np.int64), rows.column("after").to_numpy().astype(np.int64)
     width = -(-(reach + length) // 8) * 8
@@ -196,11 +203,11 @@ def _matrix(rows, length: int) -> tuple[np.ndarray, ...]:
         out[full, : reach + length] = data[starts[full][:, None] + np.arange(reach + length)[None, :]]
     for r in np.flatnonzero(~full).tolist():
         out[r, reach - before[r] : reach + after[r]] = data[starts[r] : starts[r] + n[r]]
-    return out, rows.column("hash").to_numpy(), before, after
+    return out, rows.column("key").to_numpy(), before, after
 
 
 def _later(matrix, h, before, after, ord_, tie, pos) -> tuple[np.ndarray, np.ndarray]:
-    """Which contexts are like an earlier one with the same anchor; the order by anchor, context, place."""
+    """Which contexts are like an earlier one with the same key; the order by key, context, place."""
     words = matrix.view(np.uint64)
     multipliers = (np.arange(1, words.shape[1] + 1, dtype=np.uint64) * _C[1]) | np.uint64(1)
     digest = (words * multipliers[None, :]).sum(1, dtype=np.uint64) + (before * 512 + after).astype(np.uint64) * _C[2]
@@ -214,21 +221,31 @@ def _later(matrix, h, before, after, ord_, tie, pos) -> tuple[np.ndarray, np.nda
     return out, order
 
 
-def _half_shared(matrix, h, length: int) -> np.ndarray:
-    """Which contexts share the half string before, or that after, their anchor with another of the same anchor.
+def _digest(part: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of bytes."""
+    width = -(-part.shape[1] // 8) * 8
+    padded = np.zeros((len(part), width), np.uint8)
+    padded[:, : part.shape[1]] = part
+    words = padded.view(np.uint64)
+    out = ((words ^ (words >> np.uint64(31))) * ((np.arange(1, width // 8 + 1, dtype=np.uint64) * _C[1]) | np.uint64(1))[None, :]).sum(1, dtype=np.uint64)
+    return (out ^ (out >> np.uint64(29))) * _C[0]
+
+
+def _half(length: int, core: int) -> int:
+    """Of the bytes that a core lacks to be a string, how many lie on one of its sides at least."""
+    return -(-(length - core) // 2)
+
 
-    A string of `length` through an anchor takes in one of these halves.
+def _half_shared(matrix, key, low, core: int, length: int) -> np.ndarray:
+    """Which contexts share the half string before, or that after, their core with another of the same key.
+
+    The core of each is at low from the anchor (0 or less), `core` bytes long. Every string through it holds one of these halves.
     """
-    reach, half = length - GRAM, (length - GRAM) // 2
-    out = np.zeros(len(h), bool)
-    for at in (reach - half, reach + GRAM):
-        width = -(-half // 8) * 8
-        part = np.zeros((len(h), width), np.uint8)
-        part[:, :half] = matrix[:, at : at + half]
-        words = part.view(np.uint64)
-        digest = ((words ^ (words >> np.uint64(31))) * ((np.arange(1, width // 8 + 1, dtype=np.uint64) * _C[1]) | np.uint64(1))[None, :]).sum(1, dtype=np.uint64)
-        digest = (digest ^ (digest >> np.uint64(29))) * _C[0] + h.view(np.uint64) * _C[2]
-        _, inverse, count = np.unique(digest, return_inverse=True, return_counts=True)
+    half = _half(length, core)
+    out = np.zeros(len(key), bool)
+    for at in (length - GRAM + low - half, length - GRAM + low + core):
+        part = matrix[np.arange(len(key))[:, None], np.clip(at[:, None] + np.arange(half)[None, :], 0, matrix.shape[1] - 1)]
+        _, inverse, count = np.unique(_digest(part) + key.view(np.uint64) * _C[2], return_inverse=True, return_counts=True)
         out |= count[inverse] > 1
     return out
 
@@ -268,72 +285,162 @@ def _buckets(key: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-_SPAN = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
+#: What a round finds: covered bytes, or contexts (with the place of their core) for the next round, dealt out by key.
+_FOUND = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("key", pa.int64()), ("low", pa.int32()), ("pos", pa.int64()), ("before", pa.int32()), ("after", pa.int32()), ("context", pa.binary())])
+_FOUND_SQL = "ord long, tie long, begin long, end long, key long, low int, pos long, before int, after int, context binary"
 
 
-def _find_spans(length: int):
-    reach = length - GRAM
+def _found(**columns) -> pa.RecordBatch:
+    n = len(columns["ord"])
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _FOUND], schema=_FOUND)
 
-    def spans(rows):
-        ord_, tie, pos = (rows.column(c).to_numpy() for c in ("ord", "tie", "pos"))
-        before, after = rows.column("before").to_numpy().astype(np.int64), rows.column("after").to_numpy().astype(np.int64)
-        sent = np.array(rows.column("context").is_null())
-        covered = sent.copy()
-        parts = []
-        have = np.flatnonzero(~sent)
-        if len(have):
-            matrix, h, b, a = _matrix(rows.take(pa.array(have)), length)
-            later, order = _later(matrix, h, b, a, ord_[have], tie[have], pos[have])
-            covered[have[later]] = True
-            first = order[~later[order]]
-            edge = np.flatnonzero(np.diff(h[first])) + 1
-            count = np.diff(np.concatenate([[0], edge, [len(first)]]))
-            several = first[np.repeat(count > 1, count)]
-            several = several[_half_shared(matrix[several], h[several], length)] if len(several) else several
-            if len(several):
-                group = np.cumsum(np.concatenate([[0], np.diff(h[several]) != 0]))
-                # within a group by place in the corpus, so that the first of a bucket is the first string
-                several = several[np.lexsort((pos[have][several], tie[have][several], ord_[have][several], group))]
-                bucket = refine(matrix[several], group, length)[:, : reach + 1]
-                column = np.arange(reach + 1)[None, :]
-                ok = (bucket >= 0) & (column >= reach - b[several][:, None]) & (column + length <= reach + a[several][:, None])
-                r, c = np.nonzero(ok)
-                by = np.lexsort((r, bucket[r, c]))
-                again = np.zeros(len(by), bool)
-                again[1:] = np.diff(bucket[r, c][by]) == 0
-                r, c = r[by[again]], c[by[again]]
-                by = np.lexsort((c, r))
-                r, c = r[by], c[by]
-                cut = np.flatnonzero((np.diff(r) != 0) | (np.diff(c) != 1)) + 1
-                s, e = np.concatenate([[0], cut]).astype(int), np.concatenate([cut, [len(r)]]).astype(int) - 1
-                if len(r):
-                    own = have[several[r[s]]]
-                    parts.append((ord_[own], tie[own], pos[own] - reach + c[s], pos[own] - reach + c[e] + length))
-        rest = np.flatnonzero(covered & (before + after >= length))
-        begin, end = pos[rest] - before[rest], pos[rest] + after[rest]
-        parts.append((ord_[rest], tie[rest], begin, end))
-        ord_, tie, begin, end = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return record_batch(_SPAN, ord=ord_, tie=tie, begin=begin, end=end)
+
+def _covered_in(rows, length: int, core: int) -> pa.RecordBatch:
+    """Covered bytes in contexts that their keys bring together."""
+    reach = length - GRAM
+    ord_, tie, pos = (rows.column(c).to_numpy() for c in ("ord", "tie", "pos"))
+    before, after = rows.column("before").to_numpy().astype(np.int64), rows.column("after").to_numpy().astype(np.int64)
+    sent = np.array(rows.column("context").is_null())
+    covered = sent.copy()
+    parts = []
+    have = np.flatnonzero(~sent)
+    if len(have):
+        matrix, key, b, a = _matrix(rows.take(pa.array(have)), length)
+        low = rows.column("low").to_numpy()[have].astype(np.int64)
+        later, order = _later(matrix, key, b, a, ord_[have], tie[have], pos[have])
+        covered[have[later]] = True
+        first = order[~later[order]]
+        edge = np.flatnonzero(np.diff(key[first])) + 1
+        count = np.diff(np.concatenate([[0], edge, [len(first)]]))
+        several = first[np.repeat(count > 1, count)]
+        several = several[_half_shared(matrix[several], key[several], low[several], core, length)] if len(several) else several
+        if len(several):
+            group = np.cumsum(np.concatenate([[0], np.diff(key[several]) != 0]))
+            # within a group by place in the corpus, so that the first of a bucket is the first string
+            several = several[np.lexsort((pos[have][several], tie[have][several], ord_[have][several], group))]
+            bucket = refine(matrix[several], group, length)[:, : reach + 1]
+            column = np.arange(reach + 1)[None, :]
+            ok = (bucket >= 0) & (column >= reach - b[several][:, None]) & (column + length <= reach + a[several][:, None])
+            r, c = np.nonzero(ok)
+            by = np.lexsort((r, bucket[r, c]))
+            again = np.zeros(len(by), bool)
+            again[1:] = np.diff(bucket[r, c][by]) == 0
+            r, c = r[by[again]], c[by[again]]
+            by = np.lexsort((c, r))
+            r, c = r[by], c[by]
+            cut = np.flatnonzero((np.diff(r) != 0) | (np.diff(c) != 1)) + 1
+            s, e = np.concatenate([[0], cut]).astype(int), np.concatenate([cut, [len(r)]]).astype(int) - 1
+            if len(r):
+                own = have[several[r[s]]]
+                parts.append((ord_[own], tie[own], pos[own] - reach + c[s], pos[own] - reach + c[e] + length))
+    rest = np.flatnonzero(covered & (before + after >= length))
+    parts.append((ord_[rest], tie[rest], pos[rest] - before[rest], pos[rest] + after[rest]))
+    ord_, tie, begin, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return _found(ord=ord_, tie=tie, begin=begin, end=end)
+
+
+def _dealt_anew(rows, length: int, core: int):
+    """Contexts of one core, too many to refine at once: those alike are covered; the others go on with both longer cores."""
+    matrix, key, before, after = _matrix(rows, length)
+    low = rows.column("low").to_numpy().astype(np.int64)
+    ord_, tie, pos = (rows.column(c).to_numpy() for c in ("ord", "tie", "pos"))
+    later = _later(matrix, key, before, after, ord_, tie, pos)[0]
+    rest = np.flatnonzero(later & (before + after >= length))
+    yield _found(ord=ord_[rest], tie=tie[rest], begin=pos[rest] - before[rest], end=pos[rest] + after[rest])
+    half, reach = _half(length, core), length - GRAM
+    longer = core + half
+    for start, ok in ((low - half, before + low >= half), (low, after - low - core >= half)):
+        some = np.flatnonzero(ok & ~later)
+        if not len(some):
+            continue
+        at = start[some]
+        string = matrix[some[:, None], reach + at[:, None] + np.arange(longer)[None, :]]
+        fresh = (_digest(string) + at.astype(np.uint64) * _C[2] + np.uint64(longer)).view(np.int64)
+        if longer < length:
+            own = rows.take(pa.array(some))
+            yield _found(**{c: own.column(c).combine_chunks() if isinstance(own, pa.Table) else own.column(c) for c in ("ord", "tie", "pos", "before", "after", "context")}, key=fresh, low=at.astype(np.int32))
+            continue
+        # the core is a whole string: of those alike here, only the first needs to be told others
+        names = string.copy().view(f"V{length}").ravel()
+        _, place = np.unique(names, return_inverse=True)
+        by = np.lexsort((pos[some], tie[some], ord_[some], place))
+        again = np.zeros(len(some), bool)
+        again[by[1:]] = np.diff(place[by]) == 0
+        gone, first = some[again], some[~again]
+        yield _found(ord=ord_[gone], tie=tie[gone], begin=pos[gone] + start[gone], end=pos[gone] + start[gone] + length)
+        yield _found(ord=ord_[first], tie=tie[first], pos=pos[first], key=fresh[~again], low=start[first].astype(np.int32), before=before[first].astype(np.int32), after=after[first].astype(np.int32), context=[x.tobytes() for x in string[~again]])
+
+
+def _find_covered(length: int, core: int, most: int = CONTEXT_ROWS):
+    """Rows sorted by key to what one round finds; about `most` contexts are held."""
+
+    def chunks(rows):
+        """Rows cut between keys, about `most` of them at a time."""
+        key = rows.column("key").to_numpy()
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        at = 0
+        while at < len(edge) - 1:
+            to = max(at + 1, int(np.searchsorted(edge, edge[at] + most, "right")) - 1)
+            yield rows.slice(edge[at], edge[to] - edge[at])
+            at = to
 
     def run(batches):
-        """Rows sorted by key; an anchor's contexts are refined together."""
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, hot = 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
             size += batch.num_rows
-            if size >= CONTEXT_ROWS:
-                rows = pa.Table.from_batches(held).combine_chunks()
-                key = rows.column("key").to_numpy()
-                last = int(np.searchsorted(key, key[-1]))
-                if last:
-                    yield spans(rows.slice(0, last))
-                held = rows.slice(last).to_batches()
-                size = len(key) - last
-        if held:
-            yield spans(pa.Table.from_batches(held).combine_chunks())
+            if size < most:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            key = rows.column("key").to_numpy()
+            if hot is not None:
+                of_hot = int(np.searchsorted(key, hot, "right"))
+                if of_hot:
+                    yield from _dealt_anew(rows.slice(0, of_hot), length, core)
+                    rows, key = rows.slice(of_hot), key[of_hot:]
+                    if not len(key):
+                        held, size = [], 0
+                        continue
+                hot = None
+            last = int(np.searchsorted(key, key[-1]))
+            for part in chunks(rows.slice(0, last)) if last else ():
+                yield _covered_in(part, length, core)
+            rows = rows.slice(last)
+            if rows.num_rows >= most:  # all of one key
+                hot = key[-1]
+                yield from _dealt_anew(rows, length, core)
+                rows = rows.slice(0, 0)
+            held, size = rows.to_batches(), rows.num_rows
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks()
+        if hot is not None:
+            of_hot = int(np.searchsorted(rows.column("key").to_numpy(), hot, "right"))
+            if of_hot:
+                yield from _dealt_anew(rows.slice(0, of_hot), length, core)
+            rows = rows.slice(of_hot)
+        for part in chunks(rows) if rows.num_rows else ():
+            yield _covered_in(part, length, core)
+
+    return run
+
+
+def _find_whole(length: int):
+    """Rows sorted by key, string and place, each a whole string: all but the first of each string are covered. One row is held."""
+
+    def run(batches):
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            string = batch.column("context").to_pylist()
+            again = np.array([x == y for x, y in zip(string, [before, *string[:-1]], strict=True)])
+            before = string[-1]
+            begin = batch.column("pos").to_numpy() + batch.column("low").to_numpy()
+            yield _found(ord=batch.column("ord").to_numpy()[again], tie=batch.column("tie").to_numpy()[again], begin=begin[again], end=begin[again] + length)
 
     return run
 
@@ -350,7 +457,7 @@ def _met(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
     return docs.join(small, ["ord", "tie"], how)
 
 
-def repeated_spans(docs: DataFrame, repeated: bool, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, repeated: bool, length: int = LENGTH, most: int = CONTEXT_ROWS) -> DataFrame:
     """ord, tie, begins, ends for documents that have any: bytes covered by strings of `length` bytes that start earlier too. docs: text, ord, tie."""
     own = small_batches(docs).select("ord", "tie", F.col("text").cast("string").alias("text"))
     if repeated:  # rows alike are one document
@@ -358,8 +465,19 @@ def repeated_spans(docs: DataFrame, repeated: bool, length: int = LENGTH) -> Dat
     found = own.mapInArrow(_find_anchors(length), "key long, kind int, ord long, tie long, pos long")
     again = found.repartition("key").sortWithinPartitions("key").mapInArrow(_repeated, "ord long, tie long, pos long")
     places = kept(again.groupBy("ord", "tie").agg(F.collect_list(F.col("pos")).alias("positions")), "suffix-anchors")
-    contexts = _met(own, places, "inner").mapInArrow(_find_contexts(length), "key long, hash long, ord long, tie long, pos long, before int, after int, context binary")
-    spans = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_find_spans(length), "ord long, tie long, begin long, end long")
+    contexts = _met(own, places, "inner").mapInArrow(_find_contexts(length), _CONTEXT_SQL).withColumn("low", F.lit(0))
+    spans, core = None, GRAM
+    while contexts is not None:
+        if core < length:
+            met = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_find_covered(length, core, most), _FOUND_SQL)
+        else:
+            met = contexts.repartition("key").sortWithinPartitions("key", "context", "ord", "tie", "pos").mapInArrow(_find_whole(length), _FOUND_SQL)
+        met = kept(met, "suffix-met")
+        covered = met.where("begin is not null").select("ord", "tie", "begin", "end")
+        spans = covered if spans is None else spans.unionByName(covered)
+        again = met.where("key is not null").drop("begin", "end")
+        contexts = again.select("key", "ord", "tie", "pos", "before", "after", "context", "low") if again.limit(1).count() else None
+        core += _half(length, core)
     return kept(spans.groupBy("ord", "tie").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends")), "suffix-spans")
 
 
@@ -375,16 +493,17 @@ def cut_spans(raw: bytes, begins, ends) -> tuple[bytes, list[tuple[int, int]]]:
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = CONTEXT_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept (bytes) for every row of docs.
 
     A byte goes if a string of `length` bytes covers it that starts earlier as well: in a document of smaller doc_id, or
     earlier in the same one. Strings lie within one document and are judged on the input. Null texts are empty. Documents
     without id come last; those that share an id follow each other by a hash of their texts; rows alike in id and text
-    are one document. Texts shorter than length stay whole. Extra columns play no part. No rows give no rows.
+    are one document. Texts shorter than length stay whole. Extra columns play no part. No rows give no rows. `most` is
+    how many contexts of one core are refined in one task; more are dealt out anew, with the same result.
     """
     own, repeated = _ordered(docs.select("doc_id", "text"))
-    met = _met(own, repeated_spans(own, repeated, length), "left")
+    met = _met(own, repeated_spans(own, repeated, length, most), "left")
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", span), ("kept", pa.binary())])
 
@@ -406,20 +525,22 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Characters of which a part is removed go as a whole.
     """
-    own, repeated = _ordered(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"))
+    others = [c for c in docs.columns if c != "text"]
+    own, repeated = _ordered(docs.select(F.struct(*others).alias("_row"), "doc_id", F.col("text").cast("string").alias("text")))
     met = _met(own, repeated_spans(own, repeated, length), "left")
 
-    def run(batches):
-        for batch in batches:
-            cut = [cut_spans(raw, b, e)[0].decode("utf-8", "ignore") if b else None for raw, b, e in zip(texts(batch.column("_text")), batch.column("begins").to_pylist(), batch.column("ends").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(cut, pa.string())], names=["_row", "_cut"])
+    @F.arrow_udf("string")
+    def cut(text: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+        return pa.array([cut_spans(raw, b, e)[0].decode("utf-8", "ignore") if b else None for raw, b, e in zip(texts(text), begins.to_pylist(), ends.to_pylist(), strict=True)], pa.string())
 
-    met = met.select("_row", F.when(F.col("begins").isNotNull(), F.col("text").cast("string")).alias("_text"), "begins", "ends")
-    schema = T.StructType([met.schema["_row"], T.StructField("_cut", T.StringType())])
-    cut = met.mapInArrow(run, schema)
+    # a text crosses the network once; only those that change go to Python
+    met = met.withColumn("_cut", cut(F.when(F.col("begins").isNotNull(), F.col("text")), "begins", "ends"))
     columns = []
     for f in docs.schema.fields:
-        old = F.col("_row").getField(f.name)
-        new = F.col("_cut") if f.name == "text" else F.char_length("_cut").cast(f.dataType) if f.name == "n_chars" else None
-        columns.append((old if new is None else F.when(F.col("_cut").isNotNull(), new).otherwise(old)).alias(f.name))
-    return cut.select(*columns)
+        if f.name == "text":
+            columns.append(F.coalesce("_cut", "text").cast(f.dataType).alias("text"))
+        elif f.name == "n_chars":
+            columns.append(F.when(F.col("_cut").isNotNull(), F.char_length("_cut").cast(f.dataType)).otherwise(F.col("_row").getField("n_chars")).alias("n_chars"))
+        else:
+            columns.append(F.col("_row").getField(f.name).alias(f.name))
+    return met.select(*columns)

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -11,9 +13,9 @@ from ionloom.llm import suffixes
 from .helpers import empty, frame, odd_rows, repeats_removed
 
 
-def _check(spark, rows, **kind):
+def _check(spark, rows, most=suffixes.CONTEXT_ROWS, **kind):
     want = repeats_removed(rows)
-    got = suffixes.remove_repeats(frame(spark, rows, **kind)).collect()
+    got = suffixes.remove_repeats(frame(spark, rows, **kind), most=most).collect()
     assert len(got) == len(rows)
     texts: dict = {}
     for r in rows:
@@ -39,6 +41,38 @@ def test_planted_passages_and_self_repeats(spark):
     _check(spark, rows)
 
 
+@pytest.mark.parametrize("line", [24, 62, 90, 100, 120])
+def test_cores_with_many_contexts_are_dealt_anew(spark, line):
+    """One line in many surroundings, some of which share more with it."""
+    rng = random.Random(line)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common, sides = text(line), [text(60) for _ in range(6)]
+    rows = [(i, rng.choice([text(90), *sides[:3]]) + common + rng.choice([text(90), *sides[3:]]), "en", "s", None) for i in range(120)]
+    _check(spark, rows, most=4)
+    _check(spark, rows, most=30)
+
+
+def test_a_line_with_very_many_contexts_in_little_memory():
+    """200,000 different surroundings of one line, in one worker: what is held doesn't grow with them."""
+    code = """if True:
+        import resource, numpy as np, pyarrow as pa
+        from ionloom.llm import suffixes
+        rng = np.random.default_rng(0)
+        reach, n, step = suffixes.LENGTH - suffixes.GRAM, 200_000, 5000
+        def batches():
+            for at in range(0, n, step):
+                rows = rng.integers(97, 123, (step, reach + suffixes.LENGTH)).astype(np.uint8)
+                rows[:, reach : reach + 90] = 120
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(step, 7)), pa.array(np.arange(at, at + step)), pa.array(np.zeros(step, np.int64)), pa.array(np.full(step, reach)), pa.array(np.full(step, reach, np.int32)),
+                    pa.array(np.full(step, suffixes.LENGTH, np.int32)), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(np.zeros(step, np.int32))], names=["key", "ord", "tie", "pos", "before", "after", "context", "low"])
+        seen = sum(b.num_rows for b in suffixes._find_covered(suffixes.LENGTH, suffixes.GRAM)(batches()))
+        assert seen == 2 * n, seen
+        print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+    """
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 500
+
+
 def test_anchors_are_found_across_chunks(monkeypatch):
     rng = np.random.default_rng(0)
     buffer = rng.integers(97, 101, 5000).astype(np.uint8)
