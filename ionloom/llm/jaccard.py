@@ -1,10 +1,12 @@
 """N-gram Jaccard join of documents: word shingles, MinHash buckets, Bayesian candidate pruning, exact verification.
 
-Equal texts are joined first, by hash, and go on as one. MinHash values of a text are grouped into bands; texts that
+Equal texts are joined first, by a 128-bit hash, and go on as one numbered text. MinHash values of a text are grouped into bands; texts that
 agree in a band meet in a bucket. There each pair's values are compared a few at a time: with m of n equal, the posterior
 of the similarity is Beta(m + 1, n - m + 1) under a flat prior, and the pair is dropped once the probability of reaching
 the threshold is below a tolerance. Texts that surviving pairs connect are brought together, and all links among them
 are verified on their whole shingle sets. Large buckets and components are cut into tiles; pairs never become rows.
+Texts of a component that needs several tiles don't travel to each: their shingle sets are told by what they differ in from
+one text of the component, and with R that text's set and D the differences, |A & B| = |R| - |R - A| - |R - B| + |D(A) & D(B)|.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ THRESHOLD = 0.8
 #: A pair at the threshold misses all buckets with a probability of (1 - 0.8 ** ROWS) ** BANDS = 7e-6.
 BANDS, ROWS = 30, 5
 #: Values compared at a time, and the probability of reaching the threshold below which a pair is dropped.
-STEP, TOLERANCE = 25, 1e-4
-#: Texts in one tile of a bucket, and of a component whose texts are compared whole.
-BUCKET_TILE, VERIFY_TILE = 2048, 512
+STEP, TOLERANCE = 25, 1e-6
+#: Texts in one tile of a bucket, and in a component (or a tile of one) whose texts are compared, and bytes there.
+BUCKET_TILE, VERIFY_TILE, VERIFY_BYTES = 4096, 512, 8 << 20
+#: Keys of one bucket that a worker holds; larger ones are cut into tiles by the count of their rows.
+HELD_KEYS = 1 << 20
 #: Bytes of text that a worker hashes at a time; it takes some fifty times that in memory.
 HASHED_BYTES = 1 << 20
 #: Membership of connected texts is broadcast up to this size; beyond it texts are shuffled to it.
@@ -71,21 +75,22 @@ def signatures(items: list[bytes], width: int = SHINGLE) -> list[bytes | None]:
 
 
 def text_key(text):
-    """By this 64-bit hash texts are told apart."""
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    """By this 128-bit hash texts are told apart; null is empty."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def signed(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, key, sig (null for a text without words)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("sig", pa.binary())])
+    """doc_id, text_key, n_bytes, sig (null for a text without words)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.string()), ("n_bytes", pa.int64()), ("sig", pa.binary())])
 
     def run(batches):
         for batch in batches:
             items = texts(batch.column("text"))
             for lo, hi in slices([len(x) for x in items], HASHED_BYTES):
-                yield record_batch(schema, doc_id=batch.column("doc_id").slice(lo, hi - lo), key=batch.column("key").slice(lo, hi - lo), sig=signatures(items[lo:hi], width))
+                yield record_batch(schema, doc_id=batch.column("doc_id").slice(lo, hi - lo), text_key=batch.column("text_key").slice(lo, hi - lo), n_bytes=[len(x) for x in items[lo:hi]], sig=signatures(items[lo:hi], width))
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, key long, sig binary")
+    own = small_batches(docs).select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
+    return own.mapInArrow(run, "doc_id long, text_key string, n_bytes long, sig binary")
 
 
 def _bands(batches):
@@ -112,10 +117,9 @@ def _spread(group: int, keys: np.ndarray, tile: int) -> tuple[np.ndarray, ...]:
     return np.full(len(key), group, np.int64), np.minimum(own, other), np.maximum(own, other), own, key
 
 
-def _shared_buckets(batches):
-    """Rows sorted by bucket to tile pairs of buckets that hold two texts or more. What is held is one bucket's keys."""
+def _shared_buckets(held_keys: int):
+    """Rows sorted by bucket to tile pairs of buckets that hold two texts or more; i is -1 for keys of buckets beyond held_keys."""
     schema = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("tile", pa.int32()), ("key", pa.int64())])
-    held_b, held_k = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def emit(b, k):
         edge = np.flatnonzero(np.diff(b)) + 1
@@ -129,16 +133,49 @@ def _shared_buckets(batches):
         bucket, i, j, own, key = (np.concatenate(x) for x in zip(*parts, strict=True))
         return record_batch(schema, bucket=bucket, i=i.astype(np.int32), j=j.astype(np.int32), tile=own.astype(np.int32), key=key)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held_b, held_k = np.concatenate([held_b, batch.column("bucket").to_numpy()]), np.concatenate([held_k, batch.column("key").to_numpy()])
-        last = np.searchsorted(held_b, held_b[-1])  # the last bucket may go on
-        if last:
-            yield emit(held_b[:last], held_k[:last])
-            held_b, held_k = held_b[last:], held_k[last:]
-    if len(held_b):
-        yield emit(held_b, held_k)
+    def large(b, k):
+        none = np.full(len(b), -1, np.int32)
+        return record_batch(schema, bucket=b, i=none, j=none, tile=none, key=k)
+
+    def run(batches):
+        held_b, held_k = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        hot = None  # a bucket beyond held_keys, whose keys go on at once
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            b, k = batch.column("bucket").to_numpy(), batch.column("key").to_numpy()
+            if hot is not None:
+                n = int(np.searchsorted(b, hot, "right"))
+                if n:
+                    yield large(b[:n], k[:n])
+                b, k = b[n:], k[n:]
+                if not len(b):
+                    continue
+                hot = None
+            held_b, held_k = np.concatenate([held_b, b]), np.concatenate([held_k, k])
+            last = np.searchsorted(held_b, held_b[-1])  # the last bucket may go on
+            if last:
+                yield emit(held_b[:last], held_k[:last])
+                held_b, held_k = held_b[last:], held_k[last:]
+            if len(held_b) > held_keys:
+                hot = held_b[0]
+                yield large(held_b, held_k)
+                held_b, held_k = held_b[:0], held_k[:0]
+        if len(held_b):
+            yield emit(held_b, held_k)
+
+    return run
+
+
+def _tiled(met: DataFrame) -> DataFrame:
+    """met, keys of buckets beyond what a worker holds dealt out to their pairs of tiles by the buckets' counts."""
+    if not met.where("i < 0").limit(1).count():
+        return met
+    far = met.where("i < 0")
+    counts = kept(far.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BUCKET_TILE)).cast("int").alias("tiles")), "jaccard-buckets")
+    own = far.select("bucket", "key").join(counts, "bucket").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return met.where("i >= 0").unionByName(own.select("bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "key"))
 
 
 def _pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,107 +285,185 @@ def shared_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
 
 
 _VERIFIED = pa.schema([("comp", pa.int64()), ("tiles", pa.int32()), ("key", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("linked_docs", pa.int64())])
+_VERIFIED_SQL = "comp long, tiles int, key long, root long, links long, linked_docs long"
+
+
+def _hash_sets(items: list[bytes], width: int) -> list[np.ndarray]:
+    sets: list[np.ndarray] = []
+    for lo, hi in slices([len(x) for x in items], HASHED_BYTES):
+        hashes, starts = shingle_hashes(items[lo:hi], width)
+        sets += np.split(hashes, starts[1:-1])
+    return sets
+
+
+def _linked(both: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
+    union = size[:, None] + size[None, :] - both
+    out = (both >= threshold * union - 1e-9) & (union > 0)
+    np.fill_diagonal(out, False)
+    return out
+
+
+def _checked(comp: int, tiles: int, key: np.ndarray, weight: np.ndarray, linked: np.ndarray) -> pa.RecordBatch:
+    a, b = np.nonzero(linked)
+    first = roots(len(key), a[a < b], b[a < b])
+    n = len(key)
+    return record_batch(_VERIFIED, comp=[comp] * n, tiles=[tiles] * n, key=key, root=key[first], links=linked.sum(1), linked_docs=(linked * weight[None, :]).sum(1))
+
+
+def _grouped(batches, by: list[str], columns: list[str], ready=None):
+    """Rows sorted by `by`: each group's values of `columns` as lists, in turn. What is held is one group."""
+    now, held = None, {}
+    for batch in batches:
+        values = {c: (texts if c == "text" else lambda x: x.to_pylist())(batch.column(c)) for c in {*by, *columns}}
+        for r in range(batch.num_rows):
+            group = tuple(values[c][r] for c in by)
+            if group != now:
+                if now is not None:
+                    yield now, held
+                now, held = group, {c: [] for c in columns}
+            for c in columns:
+                held[c].append(values[c][r])
+    if now is not None:
+        yield now, held
 
 
 def _verify(threshold: float, width: int):
+    """Whole components; rows that repeat a key are alike in text and id and count once."""
+
     def run(batches):
-        """Rows sorted by comp, i, j; what is held is one pair of tiles."""
-        held: dict[str, list] = {}
-        now = None
+        for (comp,), rows in _grouped(batches, ["comp"], ["key", "n", "text"]):
+            unique = sorted({k: p for p, k in enumerate(rows["key"])}.items())
+            place = [p for _, p in unique]
+            sets = _hash_sets([rows["text"][p] for p in place], width)
+            size = np.array([len(s) for s in sets], np.float64)
+            linked = _linked(shared_counts(sets).astype(np.float64), size, threshold)
+            yield _checked(comp, 1, np.array([k for k, _ in unique], np.int64), np.array([rows["n"][p] for p in place], np.int64), linked)
+
+    return run
+
+
+_DIFFERENT = pa.schema([("comp", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("whole", pa.int64()), ("lacks", pa.int64()), ("hashes", pa.binary())])
+
+
+def _differences(width: int):
+    """Rows sorted by comp, part, with the component's first text before the others: what each text's shingle set differs in from its."""
+
+    def run(batches):
+        now, first = None, None
         for batch in batches:
-            columns = {c: batch.column(c).to_pylist() for c in ("comp", "i", "j", "tiles", "tile", "key", "n")}
-            columns["text"] = texts(batch.column("text"))
-            for r in range(batch.num_rows):
-                group = (columns["comp"][r], columns["i"][r], columns["j"][r])
-                if group != now:
-                    if now is not None:
-                        yield checked(now, held)
-                    now, held = group, {c: [] for c in columns}
-                for c, v in columns.items():
-                    held[c].append(v[r])
-        if now is not None:
-            yield checked(now, held)
-
-    def checked(group, rows):
-        unique = sorted({k: p for p, k in enumerate(rows["key"])}.items())  # rows alike in id and text came as often as they are
-        place = [p for _, p in unique]
-        key = np.array([k for k, _ in unique], np.int64)
-        tile = np.array([rows["tile"][p] for p in place])
-        weight = np.array([rows["n"][p] for p in place], np.int64)
-        items = [rows["text"][p] for p in place]
-        sets: list[np.ndarray] = []
-        for lo, hi in slices([len(x) for x in items], HASHED_BYTES):
-            hashes, starts = shingle_hashes(items[lo:hi], width)
-            sets += np.split(hashes, starts[1:-1])
-        size = np.array([len(s) for s in sets], np.float64)
-        both = shared_counts(sets).astype(np.float64)
-        union = size[:, None] + size[None, :] - both
-        linked = both >= threshold * union - 1e-9
-        linked &= union > 0
-        np.fill_diagonal(linked, False)
-        if group[1] != group[2]:
-            linked &= tile[:, None] != tile[None, :]
-        a, b = np.nonzero(linked)
-        first = roots(len(key), a[a < b], b[a < b])
-        n = len(key)
-        return record_batch(_VERIFIED, comp=[group[0]] * n, tiles=[rows["tiles"][p] for p in place], key=key, root=key[first], links=linked.sum(1), linked_docs=(linked * weight[None, :]).sum(1))
+            own = {c: batch.column(c).to_pylist() for c in ("comp", "part", "lead", "key", "n")}
+            items = texts(batch.column("text"))
+            for lo, hi in slices([len(x) for x in items], HASHED_BYTES):
+                out: dict[str, list] = {f.name: [] for f in _DIFFERENT}
+                for r, found in zip(range(lo, hi), _hash_sets(items[lo:hi], width), strict=True):
+                    if (own["comp"][r], own["part"][r]) != now:
+                        now, first = (own["comp"][r], own["part"][r]), found
+                    if own["lead"][r] == 0:
+                        continue  # the first text, told to each part
+                    apart = np.setxor1d(found, first, assume_unique=True)
+                    lacks = len(first) - (len(found) + len(first) - len(apart)) // 2
+                    for c, x in (("comp", own["comp"][r]), ("key", own["key"][r]), ("n", own["n"][r]), ("size", len(found)), ("whole", len(first)), ("lacks", lacks), ("hashes", apart.tobytes())):
+                        out[c].append(x)
+                yield record_batch(_DIFFERENT, **out)
+
+    return run
+
+
+def _verify_tiles(threshold: float):
+    """Pairs of tiles of differences."""
+
+    def run(batches):
+        for (comp, i, j), rows in _grouped(batches, ["comp", "i", "j"], ["tiles", "tile", "key", "n", "size", "whole", "lacks", "hashes"]):
+            unique = sorted({k: p for p, k in enumerate(rows["key"])}.items())
+            place = [p for _, p in unique]
+            column = lambda c, place=place, rows=rows: np.array([rows[c][p] for p in place], np.int64)
+            size, lacks, tile = column("size").astype(np.float64), column("lacks").astype(np.float64), column("tile")
+            sets = [np.frombuffer(rows["hashes"][p], np.uint64) for p in place]
+            both = shared_counts(sets).astype(np.float64) + rows["whole"][0] - lacks[:, None] - lacks[None, :]
+            linked = _linked(both, size, threshold)
+            if i != j:
+                linked &= tile[:, None] != tile[None, :]
+            yield _checked(comp, rows["tiles"][0], np.array([k for k, _ in unique], np.int64), column("n"), linked)
 
     return run
 
 
+def _verified_tiles(chosen: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Components of several tiles, from rows of comp, parts, key, n, text."""
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    rows = chosen.select("comp", part.alias("part"), F.lit(1).alias("lead"), "key", "n", "text")
+    leaders = chosen.where("key = comp").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # comp is its smallest key
+    told = leaders.select("comp", "part", F.lit(0).alias("lead"), "key", "n", "text").unionByName(rows)
+    told = told.repartition("comp", "part").sortWithinPartitions("comp", "part", "lead", "key")
+    apart = kept(told.mapInArrow(_differences(width), "comp long, key long, n long, size long, whole long, lacks long, hashes binary").dropDuplicates(["key"]), "jaccard-differences")
+    needed = F.greatest(F.ceil(F.count("*") / F.lit(VERIFY_TILE)), F.ceil(F.sum(F.octet_length("hashes")) / F.lit(VERIFY_BYTES))).cast("int")
+    tiles = kept(apart.groupBy("comp").agg(needed.alias("tiles")), "jaccard-tiles")
+    spread = apart.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    spread = spread.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")}).drop("other")
+    return spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(_verify_tiles(threshold), _VERIFIED_SQL)
+
+
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, class_id, n_links, n_text_links, n_copies, text_key for every row of docs.
+    """doc_id, class_id, n_links, n_text_links, n_copies, text_key, class_key for every row of docs.
 
     Two documents are linked if their sets of word shingles have a Jaccard similarity of threshold or more, or if their
-    texts are equal. class_id is the smallest doc_id that links connect (null if all are null). n_links counts linked
-    documents, copies among them; n_text_links counts linked different texts; n_copies counts documents of the same text.
-    A text of fewer words than width is one shingle; one without words is linked to its copies alone. Null texts are empty.
-    Rows that repeat a doc_id are documents of their own. Extra columns play no part. No rows give no rows. The rule is
-    exact for all pairs that meet in a bucket and survive pruning: 7e-6 of pairs at the threshold don't meet, 4.5e-4 are pruned.
+    texts are equal. class_id is the smallest doc_id that links connect (null if all are null); class_key is the smallest
+    text_key that they connect, so it tells classes apart where ids are null or repeated. n_links counts linked documents,
+    copies among them; n_text_links counts linked different texts; n_copies counts documents of the same text. A text of
+    fewer words than width is one shingle; one without words is linked to its copies alone. Null texts are empty. Rows that
+    repeat a doc_id are documents of their own. Extra columns play no part. No rows give no rows. The rule is exact for all
+    pairs that meet in a bucket and survive pruning; README has the shares of others.
     """
     rule = fewest_matches(threshold, tolerance)
     every = kept(signed(docs, width), "jaccard-signed")
-    unique = kept(every.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"), F.first("sig").alias("sig")), "jaccard-texts")
-    some = unique.where("sig is not null")
-    buckets = some.select("key", "sig").mapInArrow(_bands, "bucket long, key long").repartition("bucket").sortWithinPartitions("bucket", "key")
-    met = buckets.mapInArrow(_shared_buckets, "bucket long, i int, j int, tile int, key long")
-    pairs = met.join(some.select("key", "sig"), "key").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
+    unique = every.groupBy("text_key").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"), F.first("n_bytes").alias("n_bytes"), F.first("sig").alias("sig"))
+    unique = kept(unique.withColumn("key", F.monotonically_increasing_id()), "jaccard-texts")  # numbers hold once they are written
+    some = unique.where("sig is not null").select("key", "sig")
+    buckets = some.mapInArrow(_bands, "bucket long, key long").repartition("bucket").sortWithinPartitions("bucket", "key")
+    met = _tiled(kept(buckets.mapInArrow(_shared_buckets(HELD_KEYS), "bucket long, i int, j int, tile int, key long"), "jaccard-buckets"))
+    pairs = met.join(some, "key").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
     links = pairs.select("bucket", "i", "j", "tile", "key", "sig").mapInArrow(_surviving(rule), "a long, b long")
     parts = kept(components(links), "jaccard-components")
-    sizes = parts.groupBy("root").agg(F.count("*").alias("size"))
-    placed = parts.join(sizes, "root").join(unique.select("key", "first_doc", "n"), "key")
-    placed = placed.select("key", "first_doc", "n", F.col("root").alias("comp"), F.ceil(F.col("size") / F.lit(VERIFY_TILE)).cast("int").alias("tiles"))
-    placed = kept(placed.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")), "jaccard-placed")
+    sized = parts.join(unique.select("key", "text_key", "first_doc", "n", "n_bytes"), "key").withColumnRenamed("root", "comp")
+    needed = F.greatest(F.ceil(F.count("*") / F.lit(VERIFY_TILE)), F.ceil(F.sum("n_bytes") / F.lit(VERIFY_BYTES))).cast("int")
+    needed = F.when(F.count("*") <= 2, 1).otherwise(needed)
+    sizes = kept(parts.join(unique.select("key", "n_bytes"), "key").groupBy(F.col("root").alias("comp")).agg(needed.alias("parts")), "jaccard-sizes")
+    placed = kept(sized.join(sizes, "comp").select("key", "text_key", "first_doc", "n", "comp", "parts"), "jaccard-placed")
 
     own = docs.select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("text_key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     wanted = F.broadcast(placed) if bytes_of(placed) <= BROADCAST_BYTES else placed.hint("merge")
-    chosen = own.join(wanted, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    spread = chosen.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    spread = spread.select("comp", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tiles", "tile", "key", "n", "text")
-    spread = spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
-    verified = kept(spread.mapInArrow(_verify(threshold, width), "comp long, tiles int, key long, root long, links long, linked_docs long"), "jaccard-verified")
-    totals = verified.groupBy("key").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"), F.min("tiles").alias("tiles"), F.min("root").alias("root"))
+    chosen = own.join(wanted, (own.text_key == placed.text_key) & F.col("doc_id").eqNullSafe(F.col("first_doc"))).select("comp", "parts", "key", "n", "text")
+    whole = chosen.where("parts = 1").repartition("comp").sortWithinPartitions("comp")
+    verified = whole.select("comp", "key", "n", "text").mapInArrow(_verify(threshold, width), _VERIFIED_SQL)
+    if placed.where("parts > 1").limit(1).count():
+        verified = verified.unionByName(_verified_tiles(chosen.where("parts > 1"), threshold, width))
+    verified = kept(verified, "jaccard-verified")
+    totals = verified.groupBy("key").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"), F.max("tiles").alias("tiles"), F.min("root").alias("root"))
     large = verified.where("tiles > 1")
     if large.limit(1).count():
         joined = components(large.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("root", "far")
         totals = totals.join(joined, "key", "left").withColumn("root", F.when(F.col("tiles") > 1, F.coalesce("far", "key")).otherwise(F.col("root"))).drop("far")
     totals = kept(totals, "jaccard-totals")
-    lowest = totals.join(unique.select("key", "first_doc"), "key").groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    classes = totals.join(lowest, "root").select("key", "class_id", "links", "linked_docs")
-    told = unique.select("key", "first_doc", "n").join(classes, "key", "left")
-    told = told.select("key", F.coalesce("class_id", "first_doc").alias("class_id"), (F.coalesce("linked_docs", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"), F.col("n").alias("n_copies"))
-    return every.select("doc_id", "key").join(told, "key").select("doc_id", "class_id", "n_links", "n_text_links", "n_copies", F.col("key").alias("text_key"))
+    lowest = kept(totals.join(unique.select("key", "first_doc", "text_key"), "key").groupBy("root").agg(F.min("first_doc").alias("class_id"), F.min("text_key").alias("class_key")), "jaccard-classes")
+    classes = kept(totals.join(lowest, "root").select("key", "class_id", "class_key", "links", "linked_docs"), "jaccard-classes")
+    told = unique.select("key", "text_key", "first_doc", "n").join(classes, "key", "left")
+    told = told.select(
+        "text_key", F.coalesce("class_id", "first_doc").alias("class_id"), F.coalesce("class_key", "text_key").alias("class_key"), (F.coalesce("linked_docs", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+        F.coalesce("links", F.lit(0)).alias("n_text_links"), F.col("n").alias("n_copies"),
+    )
+    return every.select("doc_id", "text_key").join(kept(told, "jaccard-told"), "text_key").select("doc_id", "class_id", "n_links", "n_text_links", "n_copies", "text_key", "class_key")
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """The rows of docs, with their columns, less those that links connect with a smaller doc_id.
 
-    Of rows with a class's smallest id that with the smallest text key stays; of rows alike in id and text, one. Rows
-    without id count as largest.
+    One row of each class stays: that of its smallest id (rows without id come last), of those the one with the smallest
+    text key, of rows alike in id and text any one. Classes are told apart by their texts: unrelated texts stay, whether
+    their ids are null, repeated or neither. No rows give no rows.
     """
     classes = kept(jaccard_join(docs, **settings), "jaccard-classes")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
-    best = kept(classes.groupBy("class_id").agg(F.min(order).alias("pick"), F.count("*").alias("n")).select(F.col("pick.doc_id").alias("id"), F.col("pick.text_key").alias("key")), "jaccard-kept")
+    best = kept(classes.groupBy("class_key").agg(F.min(order).alias("pick")).select(F.col("pick.doc_id").alias("id"), F.col("pick.text_key").alias("key")), "jaccard-kept")
     small = F.broadcast(best) if bytes_of(best) <= BROADCAST_BYTES else best.hint("merge")
     rows = docs.withColumns({"_row": F.struct(*docs.columns), "_id": F.col("doc_id").cast("long"), "_key": text_key(F.col("text"))}).select("_row", "_id", "_key")
     stay = rows.join(small, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left_semi")

@@ -68,9 +68,54 @@ def test_one_of_each_keeps_the_columns_and_a_row_for_each_class(spark):
     d = frame(spark, rows, extra=True)
     left = jaccard.one_of_each(d)
     assert left.columns == d.columns
-    classes = {r.doc_id: r.class_id for r in jaccard.jaccard_join(d).collect() if r.doc_id is not None}
-    ids = [r.doc_id for r in left.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({c for c in classes.values() if c is not None})
+    assert sorted(map(str, left.select("doc_id", "text").collect())) == sorted(map(str, _kept(spark, rows)))
+
+
+def _kept(spark, rows):
+    """By all pairs: of each class the row of the smallest id, null last, then of the smallest hash."""
+    import hashlib
+
+    from pyspark.sql import Row
+
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in jaccard_links([r[1] for r in rows]):
+        x, y = find(a), find(b)
+        label[max(x, y)] = min(x, y)
+    best: dict = {}
+    for i, r in enumerate(rows):
+        order = (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest())
+        best[find(i)] = min(best.get(find(i), (order, i)), (order, i))
+    return [Row(doc_id=rows[i][0], text=rows[i][1]) for _, i in best.values()]
+
+
+@pytest.mark.parametrize("ids", [[None, None, None], [7, 7, None], [7, 7, 7]])
+def test_unrelated_documents_without_ids_of_their_own_all_stay(spark, ids):
+    import random
+
+    from .helpers import prose
+
+    texts = [prose(random.Random(k), 60) for k in range(3)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts, strict=True)] + [(ids[0], texts[0] + " more", "en", "s", None)]
+    got = jaccard.one_of_each(frame(spark, rows))
+    assert got.count() == 3
+    joined = jaccard.jaccard_join(frame(spark, rows)).collect()
+    assert len({r.class_key for r in joined}) == 3 and sorted(r.n_links for r in joined) == [0, 0, 1, 1]
+
+
+def test_very_large_buckets_are_tiled_by_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HELD_KEYS", 8)
+    monkeypatch.setattr(jaccard, "BUCKET_TILE", 8)
+    monkeypatch.setattr(jaccard, "VERIFY_BYTES", 4000)
+    base = [f"w{k}" for k in range(100)]
+    rows = [(i, " ".join([*base[: 40 + i % 7], f"v{i}", *base[40 + i % 7 :]]), "en", "s", None) for i in range(50)] + odd_rows()[:20]
+    got = jaccard.jaccard_join(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.class_id, r.n_links) for r in got) == _expected(rows)
 
 
 def test_the_rule_keeps_pairs_at_the_threshold():
@@ -79,7 +124,7 @@ def test_the_rule_keeps_pairs_at_the_threshold():
     equal = rng.random((4000, jaccard.VALUES)) < jaccard.THRESHOLD
     sig = np.zeros((2, jaccard.VALUES), np.uint8)
     kept = sum(len(jaccard.prune(np.stack([np.zeros(jaccard.VALUES, np.uint8), (~e).astype(np.uint8)]), np.array([0]), np.array([1]), rule)[0]) for e in equal[:400])
-    assert kept >= 399
+    assert kept == 400
     sig[1] = 1
     assert len(jaccard.prune(sig, np.array([0]), np.array([1]), rule)[0]) == 0
 
