@@ -2,6 +2,9 @@
 
 Element subtrees are hashed and counted per host in Spark; those that recur across many pages of a host are its template
 and are deleted. Elements that say by tag, role or name what they are (menus, adverts, comments) go as well.
+
+Pages are read in one pass: no step looks further ahead than to what it then skips, and where open elements of each name
+lie is remembered, so the time grows with the page alone, however broken it is.
 """
 
 from __future__ import annotations
@@ -28,16 +31,17 @@ BROADCAST_BYTES, SALTS = 8 << 20, 64
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot thead tr ul caption".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script style textarea title noscript iframe xmp noframes noembed".split()
-DROPPED = set("nav footer aside form head menu dialog noscript template iframe svg canvas object embed button select datalist audio video map math".split()) | set(RAW)
+DROPPED = set("nav footer aside form head menu dialog noscript template iframe button select datalist".split()) | set(RAW)
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NAMES = set("ad ads adv advert adverts advertisement advertising adsense adslot banner promo promotion sponsor sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments discussion replies disqus respond popup modal overlay widget pagination pager skip toolbar".split())
 OUTER_NAMES = set("header masthead topbar".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?P<rawattrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>(?P<rawtext>.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|</[^a-zA-Z][^>]*>",
-    re.S | re.I,
-)
+#: Words that stand beside those in a name without telling what an element is.
+BESIDE = set("area bar block body bottom box btn button buttons col column container content controls count entries entry field fixed form global group head heading icon icons image inline inner item items js left link links list main mini nav outer page panel post posts primary right row secondary section sidebar site slot small sticky tag tags text title top unit view wrap wrapper".split())
+
+_TAG = re.compile(r"[a-zA-Z][^\s/>]*")
+_PLAIN = re.compile(r"[^'\">]*")
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _READ = {"class", "id", "role", "hidden", "aria-hidden"}
 _PART = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
@@ -53,62 +57,131 @@ class Node:
         self.tag, self.attrs, self.parts, self.size, self.key = tag, attrs, [], 0, 0
 
 
+class _Open:
+    """The elements that are open, and where those of each name lie among them."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places, self.blocks, self.fences = [root], {}, [], []
+
+    def push(self, node: Node) -> None:
+        at = len(self.stack)
+        self.stack.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCKS or node.tag in ("td", "th"):
+            self.blocks.append(at)
+        if node.tag in _FENCES:
+            self.fences.append(at)
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, at: int) -> None:
+        """The element at a place, and all within it."""
+        while len(self.stack) > at:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            for held in (self.blocks, self.fences):
+                if held and held[-1] == len(self.stack):
+                    held.pop()
+
+
+_FENCES = {"article", "body", "main", "table"}
+
+
+def _tag_end(text: str, at: int, unclosed: set[str]) -> int:
+    """Where the tag's > lies, from a place after its name; -1 without one. A quote after = runs to the next one of its kind."""
+    while True:
+        at = _PLAIN.match(text, at).end()
+        if at == len(text):
+            return -1
+        c = text[at]
+        if c == ">":
+            return at
+        k = at - 1
+        while text[k].isspace():
+            k -= 1
+        shut = text.find(c, at + 1) if text[k] == "=" and c not in unclosed else -1
+        if shut < 0 and text[k] == "=":
+            unclosed.add(c)  # none further on either
+        at = max(at, shut) + 1
+
+
 def parse(text: str) -> Node:
-    """A tree of elements and texts (character references still in them). Never fails: what doesn't close, closes at the end."""
+    """A tree of elements and texts (character references still in them). Never fails: what doesn't close, closes at the end.
+
+    A tag that the page ends in is no tag and no text; so is a comment.
+    """
     root = Node("", {})
-    stack = [root]
-    at = 0
-    for m in _TOKEN.finditer(text):
-        if m.start() > at:
-            stack[-1].parts.append(text[at : m.start()])
-        at = m.end()
-        if m["raw"]:
-            continue  # no part of any text
-        tag = m["tag"]
-        if not tag:
+    held = _Open(root)
+    stack = held.stack
+    at, n = 0, len(text)
+    unclosed: set[str] = set()
+    while at < n:
+        here = text.find("<", at)
+        if here < 0:
+            stack[-1].parts.append(text[at:])
+            break
+        after = text[here + 1 : here + 2]
+        close = after == "/"
+        name = _TAG.match(text, here + 1 + close)
+        if not name and after not in ("!", "?", "/"):  # no tag, but text
+            stack[-1].parts.append(text[at : here + 1])
+            at = here + 1
             continue
-        tag = tag.lower()
-        if m["close"]:
+        if here > at:
+            stack[-1].parts.append(text[at:here])
+        if not name:
+            if text.startswith("<!--", here):
+                end = text.find("-->", here + 2)
+                at = n if end < 0 else end + 3
+            else:
+                end = text.find(">", here)
+                at = n if end < 0 else end + 1
+            continue
+        end = _tag_end(text, name.end(), unclosed)
+        if end < 0:
+            break
+        inside = text[name.end() : end]
+        tag, at = name[0].lower(), end + 1
+        if close:
             if tag == "br":
                 stack[-1].parts.append(Node("br", {}))
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "body", "main", "table") and tag not in BLOCKS:
-                    break
+            k = held.last((tag,))
+            if k and (tag in BLOCKS or not held.fences or held.fences[-1] <= k):
+                held.close(k)
+            continue
+        if tag in _RAW_END:
+            shut = _RAW_END[tag].search(text, at)  # no part of any text
+            at = shut.end() if shut else n
             continue
-        if tag in BLOCKS and stack[-1].tag not in BLOCKS or stack[-1].tag == "p" and tag in BLOCKS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCKS or stack[k].tag in ("td", "th"):
-                    break
+        if tag in BLOCKS and held.blocks and stack[held.blocks[-1]].tag == "p":
+            held.close(held.blocks[-1])
         if tag in _CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in _CLOSES[tag]:
-                    del stack[k:]
-                    break
-                if stack[k].tag in _SCOPE[tag]:
-                    break
+            k = held.last(_CLOSES[tag])
+            if k and k > held.last(_SCOPE[tag]):
+                held.close(k)
         attrs = {}
-        if m["attrs"] and not m["attrs"].isspace():
-            for a in _ATTRIBUTE.finditer(m["attrs"]):
-                if (name := a[1].lower()) in _READ:
-                    attrs.setdefault(name, a[2] or a[3] or a[4] or "")
+        if inside and not inside.isspace():
+            for a in _ATTRIBUTE.finditer(inside):
+                if (key := a[1].lower()) in _READ:
+                    attrs.setdefault(key, a[2] or a[3] or a[4] or "")
         node = Node(tag, attrs)
         stack[-1].parts.append(node)
-        if tag not in VOID and not m["attrs"].endswith("/"):
-            stack.append(node)
-        elif tag not in VOID and tag in BLOCKS:
-            stack.append(node)  # a slash doesn't close an HTML element
-    if at < len(text):
-        stack[-1].parts.append(text[at:])
+        if tag not in VOID and (tag in BLOCKS or not inside.endswith("/")):  # a slash doesn't close an HTML element
+            held.push(node)
     return root
 
 
+def _named(value: str, words: set[str]) -> bool:
+    """A name of which all parts are among the words, or stand beside one that is."""
+    for name in value.split():
+        parts = {p.lower() for p in _PART.findall(name)}
+        if parts & words and parts <= words | BESIDE:
+            return True
+    return False
+
+
 def unwanted(node: Node, inside: bool) -> bool:
     """By tag, role or name. inside: within an article."""
     if node.tag in DROPPED or "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true":
@@ -119,8 +192,8 @@ def unwanted(node: Node, inside: bool) -> bool:
         return True
     if node.tag in ("body", "html", "main", "article") and "comment" not in node.attrs.get("class", "").lower():
         return False
-    parts = {p.lower() for p in _PART.findall(f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}")}
-    return bool(parts & NAMES) or not inside and bool(parts & OUTER_NAMES)
+    names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}"
+    return _named(names, NAMES) or not inside and _named(names, OUTER_NAMES)
 
 
 def measure(root: Node) -> None:
@@ -195,6 +268,7 @@ def extract(text: str, templates: set[int]) -> str:
             line.clear()
 
     todo: list = list(reversed(parts))
+    whole = {id(p) for p in parts}
     while todo:
         p = todo.pop()
         if p is None:
@@ -203,7 +277,7 @@ def extract(text: str, templates: set[int]) -> str:
             line.append(p)
         elif p.tag in ("br", "td", "th") and not p.parts:
             line.append(" ")
-        elif p not in parts and (unwanted(p, marked) or p.key in templates and p.tag in BLOCKS and p.size <= MOST_OF_PAGE * total and not (marked and p.tag in _TEXT_BLOCKS)):
+        elif id(p) not in whole and (unwanted(p, marked) or p.key in templates and p.tag in BLOCKS and p.size <= MOST_OF_PAGE * total and not (marked and p.tag in _TEXT_BLOCKS)):
             line.append(" ")
         else:
             block = p.tag in BLOCKS or p.tag == ""
@@ -247,11 +321,11 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     named = lambda name, text: F.transform(name, lambda x: F.struct(x.alias("key"), F.lit(text).alias("text")))
     lone = F.array(F.struct(F.lit(None).cast("long").alias("key"), F.lit(False).alias("text")))
     counted = different.select("host", F.explode(F.concat(lone, named("found", False), named("blocks", True))).alias("x")).groupBy("host", "x.key", "x.text").agg(F.count("*").alias("n"))
-    # the row without a key counts the host's pages
-    enough = F.col("key").isNotNull() & (F.col("n") >= F.when(F.col("text"), max(least_pages, LEAST_TEXT_PAGES)).otherwise(least_pages))
-    per_host = counted.groupBy("host").agg(F.max(F.when(F.col("key").isNull(), F.col("n"))).alias("pages"), F.collect_list(F.when(enough, F.struct("key", "text", "n"))).alias("found"))
-    often = F.filter("found", lambda x: x["n"] >= F.col("pages") * F.when(x["text"], max(least_share, LEAST_TEXT_SHARE)).otherwise(least_share))
-    return per_host.select("host", F.transform(often, lambda x: x["key"]).alias("templates")).where(F.size("templates") > 0)
+    enough = F.col("n") >= F.when(F.col("text"), max(least_pages, LEAST_TEXT_PAGES)).otherwise(least_pages)
+    counted = kept(counted.where(F.col("key").isNull() | enough), "html-counts")
+    per_host = counted.where("key is null").select("host", F.col("n").alias("pages"))  # the row without a key counts the host's pages
+    often = F.col("n") >= F.col("pages") * F.when(F.col("text"), max(least_share, LEAST_TEXT_SHARE)).otherwise(least_share)
+    return counted.where("key is not null").join(per_host, "host").where(often).groupBy("host").agg(F.collect_list("key").alias("templates"))
 
 
 def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:

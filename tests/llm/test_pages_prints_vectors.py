@@ -39,6 +39,51 @@ def test_paragraphs_that_recur_inside_articles_stay(spark):
     assert all(r.text == f"T{r.page_id}\n\nThe same words stand here.\n\n{r.page_id}" for r in got)
 
 
+def test_broken_pages_take_time_in_proportion():
+    import time
+
+    n = 1 << 18
+    hostile = ["<a ", "<", "</", "<!--", "<a b='", "<a b=\"><c d='", "<p>", "</x>", "<div>", "<li>", "<td>", "<a b=c'd \"", "<script", "<b></i>", "<span><article>", "&amp", "<a  =  ", "<table></span>", "<!", "<?x", "<textarea>", "</script>", "<p/", "<a b= \t "]
+    for piece in hostile:
+        for page in (piece * (n // len(piece)), "<span><article>" + piece * (n // len(piece)) + "</span>" * 1000, "<div>" * 5000 + piece * 5000 + "</q>" * 5000):
+            began = time.perf_counter()
+            extraction.extract(page, set())
+            assert time.perf_counter() - began < 4, piece
+
+
+def test_nothing_else_goes():
+    inside = "<p>Let <math><mi>x</mi></math> be</p><section class='social-history'><p>Society</p></section><div id='related-work'><p>Others</p></div><canvas>drawn</canvas><object>an object</object><map><p>m</p></map>"
+    gone = "<div class='social-links'>f t</div><div class='related-posts box'>r</div><ul class='comment-list'><li>c</ul><div id='cookieNotice'>k</div><p hidden>h</p>"
+    assert extraction.extract(f"<article>{inside}{gone}</article>", set()) == "Let x be\n\nSociety\n\nOthers\n\ndrawnan object\n\nm"
+    assert extraction.extract("<p>a < b and c <3 d</p><p title='x > y'>e</p><p don't>it's</p>", set()) == "a < b and c <3 d\n\ne\n\nit's"
+
+
+def test_template_counts_are_those_of_plain_counting(spark):
+    """Boxes that stand on enough different pages of a host go, unless they are most of a page."""
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(4)
+    rows, boxes = [], {}
+    for k in range(240):
+        host = rng.choice(["a", "a", "a", "b", "c"])
+        chosen = [f"box {host} {rng.choice([0, 1, 2, 3]) if rng.random() < 0.4 else rng.randrange(4, 60)} with words" for _ in range(rng.randrange(4))]
+        boxes[k] = (host, tuple(dict.fromkeys(chosen)), f"story {k % 200} of the page and some more of its own words that are long enough to be most of it")
+        rows.append((k, f"http://{host}.example/{k}", "<body>" + "".join(f"<section>{b}</section>" for b in boxes[k][1]) + f"<section>{boxes[k][2]}</section></body>"))
+    pages, on = defaultdict(set), defaultdict(set)
+    for host, chosen, story in boxes.values():
+        pages[host].add((chosen, story))
+        for b in (*chosen, story):
+            on[host, b].add((chosen, story))
+    size = lambda x: sum(map(len, x.split()))
+    gone = lambda host, b: len(on[host, b]) >= max(extraction.LEAST_PAGES, extraction.LEAST_SHARE * len(pages[host]))
+    for r in extraction.main_text(spark.createDataFrame(rows, PAGES)).collect():
+        host, chosen, story = boxes[r.page_id]
+        total = sum(map(size, (*chosen, story)))
+        assert r.text == "\n\n".join(b for b in (*chosen, story) if not (gone(host, b) and size(b) <= extraction.MOST_OF_PAGE * total))
+    assert any(gone(h, b) for h, b in on) and not all(gone(h, b) for h, b in on)
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (None, "no url", "<p>x"), (3, "http://h/", "plain & text"), (3, "http://h/", "plain & text"), (4, "http://h/", "<p" * 50), (5, "http://h/", "<div>" * 3000 + "deep" + "</div>" * 10), (6, "http://h/", "<!-- never ends <p>x</p>"), (7, "http://h/", "<script>x"), (8, "http://h/", "</p></div><b>bold<i>both</b>rest")]
     d = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit(1) for c in ("host", "templates", "text", "key", "salt")})
