@@ -1,7 +1,9 @@
 """Best-fit packing: documents cut into pieces of tokens, pieces put into sequences.
 
 Bounded-space online best-fit: a fixed number of bins is open at a time, held in a bitset keyed by free space. A piece
-goes to the open bin with the least room that holds it; when one bin too many is open, the fullest closes.
+goes to the open bin with the least room that holds it; when one bin too many is open, the fullest closes. Pieces stream
+past: a packer sees some hundred of them ahead, and of these takes the longest first. It holds nothing but those and the
+open bins, whatever the number and length of the documents.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -19,14 +20,14 @@ from ionloom.llm.shared import flat, record_batch, small_batches, text_slices
 
 CAPACITY = 2048
 END_ID = 0
-#: Bins that are open at once in each bucket; with the longest pieces first, about as many as its rows make.
-OPEN_BINS = 8192
-#: Rows of one bucket, without and with their ids; the number of buckets follows the number of documents.
-BUCKET_ROWS, BUCKET_ROWS_WITH_IDS = 16_384, 2048
+#: Bins that a packer holds open, and pieces that it sees ahead.
+OPEN_BINS, AHEAD = 256, 1024
+#: Bytes of text whose pieces one packer takes; the number of packers follows from the bytes of all texts.
+PACKER_BYTES = 64 << 20
 #: A text with a longer run of one kind of byte (white space or not) is encoded by the slower, never quadratic encoder.
 LONG_RUN = 2048
 
-_PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+_PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("turn", pa.int64())])
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -85,73 +86,96 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit). A null text is empty and holds the end id alone."""
+    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit), turn (the place among its task's pieces). A null text is empty and holds the end id alone."""
     path = path or vocabulary()
 
     def run(batches):
-        encode = encoder(path)
+        encode, turn = encoder(path), 0
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
             for lo, hi, items in text_slices(batch.column("text"), 4 << 20):
-                out: dict[str, list] = {f.name: [] for f in _PIECES}
+                out: dict[str, list] = {f.name: [] for f in _PIECES if f.name != "turn"}
                 for key, ids in zip(keys[lo:hi], encode(items), strict=True):
                     raw = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
                     for k, (start, length) in enumerate(cut(len(ids) + 1, capacity)):
                         for name, value in zip(out, (key, k, start, length, raw[4 * start : 4 * (start + length)]), strict=True):
                             out[name].append(value)
-                yield record_batch(_PIECES, **out)
+                yield record_batch(_PIECES, **out, turn=np.arange(turn, turn + len(out["ids"])))
+                turn += len(out["ids"])
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary, turn long")
 
 
-def best_fit(lengths, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> tuple[list[int], list[int]]:
-    """For each length in turn: the number of its bin, and its offset there."""
-    bins: list[list[int]] = [[] for _ in range(capacity + 1)]  # by free space
-    free, n_open, n_bins = 0, 0, 0
-    where, offsets = [], []
-    for need in lengths:
-        room = free >> need
+class Packer:
+    """Open bins by free space, in lists under a bitset of the spaces that have any."""
+
+    def __init__(self, capacity: int = CAPACITY, open_bins: int = OPEN_BINS):
+        self.capacity, self.open_bins = capacity, open_bins
+        self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.free, self.n_open, self.n_bins = 0, 0, 0
+
+    def _pop(self, space: int) -> int:
+        b = self.bins[space].pop()
+        if not self.bins[space]:
+            self.free ^= 1 << space
+        self.n_open -= 1
+        return b
+
+    def put(self, need: int) -> tuple[int, int]:
+        """The bin that takes so many tokens, and their offset there."""
+        room = self.free >> need
         if room:
             space = need + (room & -room).bit_length() - 1
-            b = bins[space].pop()
-            if not bins[space]:
-                free ^= 1 << space
+            b = self._pop(space)
         else:
-            space, b = capacity, n_bins
-            n_bins += 1
-            n_open += 1
-        where.append(b)
-        offsets.append(capacity - space)
+            space, b = self.capacity, self.n_bins
+            self.n_bins += 1
         left = space - need
         if left:
-            bins[left].append(b)
-            free |= 1 << left
-        else:
-            n_open -= 1
-        if n_open > open_bins:
-            tightest = (free & -free).bit_length() - 1
-            bins[tightest].pop()
-            if not bins[tightest]:
-                free ^= 1 << tightest
-            n_open -= 1
-    return where, offsets
-
-
-def pack_pieces(pieces: DataFrame, n_rows: int, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """pieces with sequence_id and offset. Each hash bucket of about bucket_rows rows packs its own; longest pieces come first."""
-    n_buckets = max(1, -(-n_rows // bucket_rows))
+            self.bins[left].append(b)
+            self.free |= 1 << left
+            self.n_open += 1
+            if self.n_open > self.open_bins:
+                self._pop((self.free & -self.free).bit_length() - 1)  # the fullest closes
+        return b, self.capacity - space
+
+
+def best_fit(lengths, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> tuple[list[int], list[int]]:
+    """For each length in turn: the number of its bin, and its offset there."""
+    packer = Packer(capacity, open_bins)
+    placed = [packer.put(n) for n in lengths]
+    return [b for b, _ in placed], [o for _, o in placed]
+
+
+def pack_pieces(pieces: DataFrame, n_packers: int, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, ahead: int = AHEAD) -> DataFrame:
+    """pieces, less turn, with sequence_id and offset. Pieces are dealt to packers by hash, rows alike too, as their turns differ."""
     plain = [c for c in pieces.columns if c != "ids"]
-    keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64(*plain), F.lit(n_buckets)))
-    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    keyed = pieces.withColumn("_order", F.xxhash64(*plain)).repartition(max(1, n_packers), "_order").sortWithinPartitions("_order", *plain).drop("_order", "turn")
+    out = T.StructType([*keyed.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        packer, first = Packer(capacity, open_bins), TaskContext.get().partitionId() << 40
 
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        where, offsets = best_fit(group["length"].tolist(), capacity, open_bins)
-        group["sequence_id"] = (np.int64(key[0]) << 40) + np.array(where, np.int64)
-        group["offset"] = np.array(offsets, np.int64)
-        return group[out.names]
+        def placed(rows):
+            lengths = rows.column("length").to_numpy()
+            turn = np.argsort(-lengths, kind="stable")
+            spots = np.array([packer.put(n) for n in lengths[turn].tolist()], np.int64)
+            rows = rows.take(pa.array(turn))
+            return rows.append_column("sequence_id", pa.array(first + spots[:, 0])).append_column("offset", pa.array(spots[:, 1]))
+
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            while held.num_rows >= ahead:
+                yield from placed(held.slice(0, ahead)).to_batches()
+                held = held.slice(ahead)
+        if held is not None and held.num_rows:
+            yield from placed(held).to_batches()
 
-    return keyed.groupBy("bucket").applyInPandas(run, out)
+    return keyed.mapInArrow(run, out)
 
 
 def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, open_bins: int = OPEN_BINS, with_ids: bool = True) -> DataFrame:
@@ -163,4 +187,5 @@ def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = C
     pieces = token_pieces(docs, path, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
     if not with_ids:
         pieces = pieces.drop("ids")
-    return pack_pieces(pieces, docs.select("doc_id").count(), capacity, open_bins, BUCKET_ROWS_WITH_IDS if with_ids else BUCKET_ROWS)
+    n_bytes = docs.agg(F.sum(F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + 8)).first()[0] or 0
+    return pack_pieces(pieces, -(-n_bytes // PACKER_BYTES), capacity, open_bins)

@@ -10,6 +10,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from ionloom.llm import mixing, packing
 
 from .helpers import empty, frame, odd_rows
@@ -76,6 +78,39 @@ def test_best_fit_never_overfills(lengths, open_bins):
     assert all(v <= 20 for v in used.values())
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=80), st.integers(1, 4))
+def test_best_fit_is_that_of_plain_lists(lengths, open_bins):
+    free: dict = {}
+    want, n_bins = [], 0
+    for need in lengths:
+        b = min((x for x in free.items() if x[1] >= need), key=lambda x: x[1], default=None)
+        if b is None:
+            free[n_bins], n_bins = 20, n_bins + 1
+            space = 20
+        else:
+            space = b[1]
+        want.append(20 - space)
+        own = [x for x in free if free[x] == space][-1]
+        free[own] -= need
+        free = {x: v for x, v in free.items() if v}
+        if len(free) > open_bins:
+            del free[[x for x in free if free[x] == min(free.values())][-1]]
+    assert packing.best_fit(lengths, 20, open_bins)[1] == want
+
+
+def test_the_bound_binds_and_one_document_meets_many_packers(spark):
+    rows = [(1, "stone river " * 60_000, "en", "s", None)] + odd_rows(n=100) + [(None, "same", "en", "s", None)] * 300
+    pieces = packing.token_pieces(frame(spark, rows)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    got = packing.pack_pieces(pieces, 5, open_bins=2, ahead=8).toPandas()
+    packers = got["sequence_id"] // (1 << 40)
+    assert len(got) == pieces.count() and set(packers) == set(range(5))
+    assert got[got["doc_id"] == 1].groupby(packers)["length"].count().max() < 30 and got[got["doc_id"].isna()].groupby(packers)["length"].count().max() < 150
+    for _, s in got.groupby("sequence_id"):
+        s = s.sort_values("offset")
+        assert s["offset"].tolist() == [0, *s["length"].cumsum().tolist()[:-1]] and s["length"].sum() <= packing.CAPACITY
+
+
 def test_empty_tables(spark):
     assert packing.best_fit_packing(empty(spark)).count() == 0
     assert mixing.mix(empty(spark)).count() == 0
