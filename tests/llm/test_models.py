@@ -3,12 +3,12 @@ from __future__ import annotations
 import math
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from ionloom.llm import language_model, quality, toxicity
+from ionloom.llm import bilinear, language_model, quality, toxicity
 
 from .helpers import empty, frame, odd_rows, prose
 
@@ -119,7 +119,6 @@ def _words(text):
 @pytest.mark.parametrize("extra", [False, True])
 def test_base_and_counts(spark, extra, monkeypatch):
     monkeypatch.setattr(language_model, "KNOWN_WORDS", 40)  # most words come by the join
-    monkeypatch.setattr(language_model, "STEPS", 30)
     rows = odd_rows()
     got = language_model.score(frame(spark, rows, extra=extra)).collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
@@ -151,20 +150,97 @@ WORDS_A = [f"al{k}ing" for k in range(90)]
 WORDS_B = [f"be{k}ung" for k in range(90)]
 
 
-def test_probabilities_add_up():
-    counts = np.random.default_rng(1).integers(0, 3, (language_model.SYMBOLS**2, language_model.SYMBOLS))
-    model = language_model.train(counts, steps=20)
-    assert np.exp(model.log_probabilities()).sum(1) == pytest.approx(1.0)
+def _model(n, seed=1):
+    rng = np.random.default_rng(seed)
+    model = bilinear.LogBilinear(rng.integers(0, 50, n))
+    trainer = bilinear.Trainer(model, seed)
+    for _ in range(20):
+        trainer.step(*(rng.integers(0, n, 300) for _ in range(3)))
+    model.ready()
+    return model
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 150, 1000])
+def test_probabilities_are_those_of_the_plain_definition_and_add_up(n):
+    model = _model(n)
+    context, near, far, upper, upper_bias, target, bias = (p.astype(float) for p in model.parameters)
+    rng = np.random.default_rng(0)
+    for two, one in rng.integers(0, n, (5, 2)):
+        q = context[two] @ far + context[one] @ near
+        want = np.empty(n)
+        groups = [math.exp(q @ upper[g] + upper_bias[g]) for g in range(len(upper))]
+        for s in range(n):
+            place = model.position[s]
+            g = place // model.size
+            members = range(g * model.size, min(n, (g + 1) * model.size))
+            want[s] = math.log(groups[g] / sum(groups)) + math.log(math.exp(q @ target[place] + bias[place]) / sum(math.exp(q @ target[k] + bias[k]) for k in members))
+        got = model.log_probabilities(np.full(n, two), np.full(n, one), np.arange(n))
+        assert got == pytest.approx(want, abs=1e-4) and np.exp(got).sum() == pytest.approx(1.0, abs=1e-5)
+
+
+def test_an_untrained_model_is_the_unigram_one():
+    counts = np.random.default_rng(2).integers(0, 90, 500)
+    model = bilinear.LogBilinear(counts)
+    model.ready()
+    got = model.log_probabilities(np.zeros(500, int), np.zeros(500, int), np.arange(500))
+    assert np.exp(got) == pytest.approx((counts + 1) / (counts + 1).sum(), rel=1e-3)
 
 
 def test_noise_contrastive_training_finds_a_pattern():
-    s = language_model.SYMBOLS
-    counts = np.zeros((s * s, s), np.int64)
-    for a in range(s):
-        for b in range(4):
-            counts[a * s + b, (b + 1) % 4] = 50
-    p = np.exp(language_model.train(counts, steps=400).log_probabilities())
-    assert all(p[10 * s + b].argmax() == (b + 1) % 4 for b in range(4))
+    rng, n = np.random.default_rng(3), 300
+    model = bilinear.LogBilinear(np.full(n, 100))
+    trainer = bilinear.Trainer(model)
+    for _ in range(400):
+        one, two = rng.integers(0, n, (2, 1024))
+        trainer.step(two, one, (one + 1) % n)
+    model.ready()
+    one = np.arange(n)
+    p = np.exp(model.log_probabilities(rng.integers(0, n, n), one, (one + 1) % n))
+    assert np.median(p) > 0.3  # by chance 0.003
+
+
+def test_scores_are_those_of_a_plain_loop(spark, monkeypatch):
+    """Token by token, with the trained model's parameters and counters of words and pairs."""
+    monkeypatch.setattr(language_model, "KNOWN_WORDS", 60)
+    monkeypatch.setattr(language_model, "KNOWN_PAIRS", 50)
+    monkeypatch.setattr(language_model, "FEWEST_OWN", 30)
+    held = {}
+    whole = language_model.trained
+    monkeypatch.setattr(language_model, "trained", lambda docs, own, endings, counts: held.update(model=whole(docs, own, endings, counts, every=2), own=own, endings=endings) or held["model"])
+    rows = odd_rows()
+    got = language_model.score(frame(spark, rows)).collect()
+    model, symbols = held["model"], language_model.Symbols(held["own"], held["endings"])
+    model.ready()
+    train = [[*_words(r[1]), b""] for r in rows if r[0] is None or zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    counts = Counter(w for t in train for w in t)
+    pairs = Counter((a, b) for t in train for a, b in zip([b"", *t], t, strict=False))
+    known = sorted(counts, key=lambda w: (-counts[w], w))
+    least = sorted(counts.values(), reverse=True)
+    followers: dict = defaultdict(set)
+    for a, b in pairs:
+        followers[a].add(b)
+    symbol = lambda w: symbols[w] if w else symbols.end
+    tokens, kinds = Counter(), Counter()
+    for w, c in counts.items():
+        tokens[symbol(w)] += c
+        kinds[symbol(w)] += 1
+    in_memory = {w for w, _ in zip(*language_model.frequent(spark.createDataFrame([(bytearray(w), c) for w, c in counts.items()], "word binary, c long"), 60), strict=True)}
+    assert len(known) > len(in_memory) and least
+    want = []
+    for r in rows:
+        total, two, one, last = 0.0, symbols.end, symbols.end, b""
+        for w in [*_words(r[1]), b""]:
+            s = symbol(w)
+            p = math.exp(model.log_probabilities(np.array([two]), np.array([one]), np.array([s]))[0])
+            if s > symbols.end:
+                p *= (counts[w] + 1) / max(1, tokens[s] + kinds[s] + 1)
+            weight = len(followers[last]) if last in in_memory else language_model.RARE_WEIGHT
+            total += math.log10((weight * p + pairs[last, w]) / (counts[last] + weight))
+            two, one, last = one, s, w
+        want.append((str(r[0]), round(total, 2)))
+    close = sorted((str(r.doc_id), r.score) for r in got)
+    assert [k for k, _ in close] == [k for k, _ in sorted(want)]
+    assert [x for _, x in close] == pytest.approx([x for _, x in sorted(want)], abs=0.02)
 
 
 def test_no_training_text(spark):
