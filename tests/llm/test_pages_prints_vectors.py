@@ -239,3 +239,20 @@ def test_blocks_of_large_lists_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
     monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 3)
     assert whole == sorted(map(str, neighbours.nearest(d).collect()))
+
+
+def test_rows_that_share_a_query_id_ask_as_one(spark):
+    rows = [(0, [1.0, 0.1]), (0, [1.0, 0.1]), (0, [0.0, 1.0]), *[(i, [1.0, i / 10]) for i in range(1, 9)], (3, [1.0, 0.3]), (3, [1.0, 0.3])]
+    got = [(r["rank"], r.vec_id) for r in sorted(neighbours.nearest(spark.createDataFrame(rows, VECTORS)).collect(), key=lambda r: r["rank"])]
+    assert got == [(1, 8), (2, 7), (3, 6), (4, 5), (5, 4)]  # the smallest vector, [0, 1], asks
+    rows = rows[:2] + rows[3:]
+    got = [(r["rank"], r.vec_id) for r in sorted(neighbours.nearest(spark.createDataFrame(rows, VECTORS)).collect(), key=lambda r: r["rank"])]
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 3), (5, 3)]  # rows that repeat an id are candidates of their own
+
+
+def test_fewer_lists_are_probed_where_vectors_have_structure():
+    rng = np.random.default_rng(5)
+    spread = rng.normal(size=(4000, 32))
+    near = rng.normal(size=(100, 32))[rng.integers(0, 100, 4000)] + 0.2 * spread
+    probes = [neighbours.probes_for(neighbours.fit(x, 100), x, 5, 0.95) for x in (spread, near)]
+    assert probes[1] < 10 < probes[0]
