@@ -186,3 +186,22 @@ def test_apply_mix_repeats_rows(spark):
     left = mixing.apply_mix(d)
     assert left.columns == d.columns
     assert left.count() == sum(r.copies for r in mixing.mix(d).collect())
+
+
+def test_many_rows_alike_are_shared_out(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ALIKE_ROWS", 7)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)  # sources come by the salted join
+    rows = odd_rows(n=60) + [(None, "the same few words again", "en", "src1", None)] * 150 + [(7, "of one id", "en", None, None)] * 40
+    got = mixing.mix(frame(spark, rows), fan_in=16).collect()
+    assert len(got) == len(rows)
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in got:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r.copies * r["size"]
+    for s, t in _targets(sizes).items():
+        assert abs(taken[s] - t) <= max(r["size"] for r in got if r["source"] == s) / 2 + 1
+    hot = [r.copies for r in got if r.doc_id is None and r["source"] == "src1"]
+    assert len(hot) == 150 and max(hot) - min(hot) <= 1
+    left = mixing.apply_mix(frame(spark, rows), fan_in=16)
+    key = lambda x: sorted(map(str, x))
+    assert key(r.doc_id for r in left.collect()) == key(r.doc_id for r in got for _ in range(r.copies))
