@@ -397,7 +397,7 @@ def _verified_tiles(chosen: DataFrame, threshold: float, width: int) -> DataFram
     told = told.repartition("comp", "part").sortWithinPartitions("comp", "part", "lead", "key")
     apart = kept(told.mapInArrow(_differences(width), "comp long, key long, n long, size long, whole long, lacks long, hashes binary").dropDuplicates(["key"]), "jaccard-differences")
     needed = F.greatest(F.ceil(F.count("*") / F.lit(VERIFY_TILE)), F.ceil(F.sum(F.octet_length("hashes")) / F.lit(VERIFY_BYTES))).cast("int")
-    tiles = kept(apart.groupBy("comp").agg(needed.alias("tiles")), "jaccard-tiles")
+    tiles = apart.groupBy("comp").agg(needed.alias("tiles"))
     spread = apart.join(tiles, "comp").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     spread = spread.withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")}).drop("other")
     return spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(_verify_tiles(threshold), _VERIFIED_SQL)
@@ -444,8 +444,8 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHI
         joined = components(large.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("root", "far")
         totals = totals.join(joined, "key", "left").withColumn("root", F.when(F.col("tiles") > 1, F.coalesce("far", "key")).otherwise(F.col("root"))).drop("far")
     totals = kept(totals, "jaccard-totals")
-    lowest = kept(totals.join(unique.select("key", "first_doc", "text_key"), "key").groupBy("root").agg(F.min("first_doc").alias("class_id"), F.min("text_key").alias("class_key")), "jaccard-classes")
-    classes = kept(totals.join(lowest, "root").select("key", "class_id", "class_key", "links", "linked_docs"), "jaccard-classes")
+    lowest = totals.join(unique.select("key", "first_doc", "text_key"), "key").groupBy("root").agg(F.min("first_doc").alias("class_id"), F.min("text_key").alias("class_key"))
+    classes = totals.join(lowest, "root").select("key", "class_id", "class_key", "links", "linked_docs")
     told = unique.select("key", "text_key", "first_doc", "n").join(classes, "key", "left")
     told = told.select(
         "text_key", F.coalesce("class_id", "first_doc").alias("class_id"), F.coalesce("class_key", "text_key").alias("class_key"), (F.coalesce("linked_docs", F.lit(0)) + F.col("n") - 1).alias("n_links"),
