@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 COSINE = "struct<cosine:double,matched:int>"
+# Spectra up to which presence is counted exactly, and the chance from which a peak is surely there.
+MOST_COUNTED, SURE = 64, 0.99
 
 
 def direct_matches(a, b, tolerance: float, stop: float = math.inf) -> tuple[list[tuple[int, int]], int, int]:
@@ -157,9 +159,15 @@ def consensus_peaks(peak_lists, sizes, tolerance: float, least: int = 5) -> tupl
 
 
 def presence_weight(seen: int, n: int, chance: float = 0.15) -> float:
-    """0.05 and up to 1: how sure it is, by the binomial distribution, that a peak seen so often isn't there by chance."""
-    below = sum(math.comb(n, k) * chance**k * (1 - chance) ** (n - k) for k in range(min(seen, n))) if n < 256 else float(seen > n * chance)
-    return 0.05 + 0.95 * below
+    """0.05 and up to 1: how sure it is, by the binomial distribution, that a peak seen so often isn't there by chance.
+
+    Beyond MOST_COUNTED spectra both counts are halved until they fit; more than SURE is as good as sure.
+    """
+    while n > MOST_COUNTED:
+        n, seen = n // 2, seen // 2
+    chances = [math.comb(n, k) * chance**k * (1 - chance) ** (n - k) for k in range(min(seen, n) + 1)]
+    whole = sum(chances)
+    return 0.05 + 0.95 * (1.0 if whole > SURE or seen > n else whole - chances[-1])
 
 
 def distance_peaks(mz, intensity, precursor: float, most: int = 30, keys: int = 6, water: float = 18.0106) -> tuple[list[int], list[int]]:

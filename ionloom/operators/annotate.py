@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ionloom.functions.scalars import aligned, annotation_text
+from ionloom.operators.graph import cut
 from ionloom.operators.joins import interval_join, same_batch
 from ionloom.schema import ISOTOPE_STEP, PROTON_ELECTRON
 
@@ -14,6 +15,8 @@ WATER, AMMONIA, METHANOL = 18.01056, 17.02655, 32.02566
 CLASSES = ("multicharge", "dimer", "fragment", "adduct", "neutral_loss", "isotope", "analog")
 #: Edges of these run from the heavier ion to the lighter one; the others the other way.
 FROM_HEAVIER = ("adduct", "dimer", "isotope")
+#: Rules that are broadcast.
+MOST_RULES = 5000
 
 
 def coeluting(clusters: DataFrame, rt_tolerance: float, bucket: float = 30.0) -> DataFrame:
@@ -63,30 +66,43 @@ def annotated_pairs(pairs: DataFrame, rules: DataFrame, evidence: DataFrame, mz_
     """id_a, id_b (a is the smaller id), class, ion, mz_error, sim, and the edge's src and dst.
 
     pairs: l and r (id, mz, area, blanks_total, strong: a peak above its own mass, peaks) and sim, trim_sim. Each pair
-    keeps the annotations of its first class by priority; several rules of that class may hold. The rules are a table of
-    some dozens and are broadcast.
+    keeps the annotations of its first class by priority; several rules of that class may hold. Pairs are written once;
+    they meet the rules, some dozens, by buckets of the mass that a rule asks for.
     """
-    if rules.limit(100_001).count() > 100_000:
-        raise ValueError("the rules table is meant to hold some dozens of rules")
+    if rules.limit(MOST_RULES + 1).count() > MOST_RULES:
+        raise ValueError(f"the rules table is meant to hold some dozens of rules, not more than {MOST_RULES}")
     e = PROTON_ELECTRON * (1 if ion_mode == 1 else -1)
     z_sign = F.col("charge") * (1 if ion_mode == 1 else -1)
     own = rules.where(z_sign > 0).withColumn("charge", F.abs("charge"))
     p = pairs.select("l", "r", F.coalesce("sim", F.lit(0.0)).alias("sim"), F.coalesce("trim_sim", F.lit(0.0)).alias("trim_sim"))
     ends = p.select(F.when(F.col("l.mz") >= F.col("r.mz"), F.struct(F.col("l").alias("h"), F.col("r").alias("w"))).otherwise(F.struct(F.col("r").alias("h"), F.col("l").alias("w"))).alias("x"), F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"), "sim", "trim_sim")
     ends = ends.select("id_a", "id_b", F.col("x.h").alias("h"), F.col("x.w").alias("w"), "sim", "trim_sim").withColumn("gap", F.bround(F.col("h.mz") - F.col("w.mz"), 4))
-    met = lambda rows: ends.join(F.broadcast(rows))
+    ends = cut(ends, "ends")
+    width = max(mz_tolerance, 1e-4) * 2
+
+    def met(rows: DataFrame, wanted: Column, value: Column, times: str | None = None) -> DataFrame:
+        """Pairs and rules whose wanted mass lies near the pair's value; with times, one value for each of the rules' numbers there."""
+        near = rows.withColumn("_cell", F.explode(F.array(*[F.floor(wanted / width) + k for k in (-1, 0, 1)])))
+        own = ends
+        if times:
+            numbers = sorted(r[0] for r in rows.select(times).distinct().collect())  # of a bounded table
+            own = own.withColumn("_times", F.explode(F.array(*[F.lit(z) for z in numbers]).cast("array<int>")))
+            near = near.withColumn("_times", F.col(times))
+        own = own.withColumn("_cell", F.floor(value / width))
+        return own.join(F.broadcast(near), ["_cell", "_times"] if times else ["_cell"])
 
     def out(rows: DataFrame, kind: str, ion: Column, error: Column) -> DataFrame:
         return rows.select("id_a", "id_b", F.lit(kind).alias("class"), ion.alias("ion"), error.alias("mz_error"), "sim", F.col("h.id").alias("heavier"), F.col("w.id").alias("lighter"))
 
     # several charges: the lighter ion is the heavier molecule's, and shows isotopes at that spacing
-    multi = met(own.where("charge > 1").select("ion", "mzdiff", "charge"))
+    multi = met(own.where("charge > 1").select("ion", "mzdiff", "charge"), F.col("mzdiff"), F.col("w.mz") - (F.col("h.mz") - e) / F.col("_times"), "charge")
     error = F.abs((F.col("h.mz") - e) / F.col("charge") + F.col("mzdiff") - F.col("w.mz"))
     multi = multi.where(error <= mz_tolerance).join(evidence.select(F.col("id").alias("_id"), F.col("charge").alias("_z")), (F.col("w.id") == F.col("_id")) & (F.col("charge") == F.col("_z")), "left_semi")
     found = out(multi, "multicharge", F.col("ion"), error)
     # dimers and trimers: the lighter one is the monomer; nothing of the heavier one lies between, or they are alike
     times = F.regexp_extract("ion", r"^\[([23])M", 1).cast("int")
-    dimers = met(_with_losses(own.where(F.col("ion").rlike(r"^\[[23]M"))).withColumn("times", times).select("ion", "mzdiff", "times", "loss", "sim_cutoff"))
+    dimers = _with_losses(own.where(F.col("ion").rlike(r"^\[[23]M"))).withColumn("times", times).select("ion", "mzdiff", "times", "loss", "sim_cutoff")
+    dimers = met(dimers, F.col("mzdiff") - F.col("loss"), F.col("h.mz") - (F.col("w.mz") - e) * F.col("_times"), "times")
     error = F.abs((F.col("w.mz") - e) * F.col("times") + F.col("mzdiff") - F.col("loss") - F.col("h.mz"))
     between = F.exists("h.peaks", lambda q: ((q["mz"] > F.col("w.mz") + F.col("mzdiff") + WATER + METHANOL) & (q["mz"] < F.col("h.mz") - fragment_tolerance)) | (q["mz"] > F.col("h.mz") + fragment_tolerance))
     dimers = dimers.where((error <= mz_tolerance) & ~F.coalesce(F.col("w.strong"), F.lit(False)) & (~F.coalesce(between, F.lit(False)) | (F.col("sim") >= F.col("sim_cutoff"))))
@@ -98,14 +114,15 @@ def annotated_pairs(pairs: DataFrame, rules: DataFrame, evidence: DataFrame, mz_
     found = found.unionByName(out(fragments, "fragment", F.lit("fragment"), nearest))
     # adducts and neutral losses: by the difference alone
     plain = own.where(F.col("ion").rlike(r"^\[M") & (F.col("charge") == 1))
-    adducts = met(_with_losses(plain.where((F.col("neutral_loss") == 0) & ~F.col("ion").rlike(r"^\[M\+[0-9]+\]"))).select("ion", "mzdiff", "loss", "sim_cutoff"))
+    adducts = _with_losses(plain.where((F.col("neutral_loss") == 0) & ~F.col("ion").rlike(r"^\[M\+[0-9]+\]"))).select("ion", "mzdiff", "loss", "sim_cutoff")
+    adducts = met(adducts, F.col("mzdiff") - F.col("loss"), F.col("gap") + e)
     error = F.abs(F.col("gap") + e - (F.col("mzdiff") - F.col("loss")))
     found = found.unionByName(out(adducts.where((error <= mz_tolerance) & (F.col("sim") >= F.col("sim_cutoff"))), "adduct", F.col("ion"), error))
-    losses = met(own.where("neutral_loss = 1").select("ion", "mzdiff", "sim_cutoff"))
+    losses = met(own.where("neutral_loss = 1").select("ion", "mzdiff", "sim_cutoff"), F.col("mzdiff"), F.col("gap"))
     error = F.abs(F.col("gap") - F.col("mzdiff"))
     found = found.unionByName(out(losses.where((error <= mz_tolerance) & (F.col("sim") >= F.col("sim_cutoff"))), "neutral_loss", F.col("ion"), error))
     steps = F.regexp_extract("ion", r"^\[M\+([0-9]+)\]", 1)
-    isotopes = met(own.where(F.col("ion").rlike(r"^\[M\+[0-9]+\]")).withColumn("steps", steps.cast("int")).select("ion", "steps", "sim_cutoff"))
+    isotopes = met(own.where(F.col("ion").rlike(r"^\[M\+[0-9]+\]")).withColumn("steps", steps.cast("int")).select("ion", "steps", "sim_cutoff"), F.col("steps") * ISOTOPE_STEP, F.col("gap"))
     error = F.abs(F.col("gap") - ISOTOPE_STEP * F.col("steps"))
     found = found.unionByName(out(isotopes.where((error <= mz_tolerance) & (F.col("sim") >= F.col("sim_cutoff"))), "isotope", F.col("ion"), error))
     analogs = ends.where(F.col("sim") >= 0.7)

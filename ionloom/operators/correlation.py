@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ionloom.functions import stats
 
+#: Rows of samples by group and bioactivity that every cluster meets.
+MOST_MEMBERS = 100_000
+
 
 def prepared_bioactivity(metadata: DataFrame, cutoff: float = 0.0) -> DataFrame:
     """sample, bioactivity (name), value. What isn't a number, is below the cutoff or belongs to a blank without a value is 0; names that are 0 everywhere go."""
@@ -32,6 +35,8 @@ def correlate(quant: DataFrame, bioactivity: DataFrame, groups: DataFrame, clust
     usable = members.groupBy("cor", "bioactivity").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).where("n > 1 and low < high").select("cor", "bioactivity")
     members = members.join(usable, ["cor", "bioactivity"], "left_semi")
     # samples and groups are metadata: few; every cluster meets each of them, as its zero counts matter
+    if members.limit(MOST_MEMBERS + 1).count() > MOST_MEMBERS:
+        raise ValueError(f"more than {MOST_MEMBERS} samples of groups and bioactivities: correlate fewer at a time")
     full = clusters.select("cluster_id").distinct().crossJoin(F.broadcast(members)).join(quant.select("cluster_id", "sample", F.col(value).cast("double").alias("x")), ["cluster_id", "sample"], "left").fillna(0.0, ["x"])
     key = ["cluster_id", "cor", "bioactivity"]
     found = {"pearson": stats.pearson, "spearman": stats.spearman}[method](full, key, "x", "value") if method != "kendall" else stats.kendall(full, key, "x", "value", "sample")

@@ -15,9 +15,11 @@ IN_MEMORY = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors see; a local one only where none is set, as in tests."""
+    """The folder of spark.checkpoint.dir, which all executors see; where none is set, a local one for a local master alone."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         where = "file://" + tempfile.mkdtemp(prefix="ionloom-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -64,32 +66,43 @@ def mutual_top_k(edges: DataFrame, k: int) -> DataFrame:
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """id, component: the smallest id that edges (id_a, id_b) connect with it. nodes (id) adds those without edges.
 
-    Large and small stars in turn; rounds grow with the logarithm of the size.
+    Large and small stars in turn until all edges form stars; rounds grow with the logarithm of the size. Each round's minima
+    are written, so that Spark broadcasts them or splits a node of many edges when it joins them.
     """
     star = cut(edges.where("id_a <> id_b").select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct())
-    state = None
     for _ in range(MOST_ROUNDS):
+        ends = star.select(F.col("a").alias("id"), F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(star.select(F.col("b").alias("id"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+        open_ = ends.groupBy("id").agg(F.sum("low").alias("low"), F.max("high").alias("high")).where("low > 1 or low > 0 and high > 0")
+        if not open_.limit(1).count():
+            break
         both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         star = cut(small)
-        now = star.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == now:
-            break
-        state = now
-    out = star.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(star.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+    else:
+        raise RuntimeError(f"components still move after {MOST_ROUNDS} rounds")
+    out = star.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(star.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
     loops = edges.where("id_a = id_b").select(F.col("id_a").alias("id"))
     every = loops.unionByName(nodes.select("id")) if nodes is not None else loops
     alone = every.distinct().join(out, "id", "left_anti")
     return out.unionByName(alone.select("id", F.col("id").alias("component")))
 
 
+def numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """rows with `name`: 1, 2, ... in ascending order of `by`. Ranges are numbered in parallel; only their counts meet."""
+    dealt = cut(rows.repartitionByRange(by).withColumn("_range", F.spark_partition_id()), "numbered")
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(by))
+    return dealt.join(F.broadcast(counts.select("_range", before.alias("_before"))), "_range").withColumn(name, (place + F.col("_before")).cast("long")).drop("_range", "_before")
+
+
 def component_index(edges: DataFrame) -> DataFrame:
     """edges (smaller id first) with component_index: 1, 2, ... by the components' smallest ids."""
     found = components(edges)
-    index = found.select("component").distinct().withColumn("component_index", F.row_number().over(Window.orderBy("component")))
+    index = numbered(found.select("component").distinct(), "component", "component_index")
     named = edges.withColumns({"_a": F.least("id_a", "id_b"), "_b": F.greatest("id_a", "id_b")}).drop("id_a", "id_b").withColumnsRenamed({"_a": "id_a", "_b": "id_b"})
     return named.join(found.withColumnRenamed("id", "id_a"), "id_a").join(F.broadcast(index) if index.limit(100_001).count() <= 100_000 else index, "component").drop("component")
 
@@ -147,11 +160,11 @@ def prune_components(edges: DataFrame, most: int, rounds: int = 2000) -> DataFra
         done = small if done is None else done.unionByName(small)
         large = met.where((F.col("size") > most) & (F.col("n_edges") > IN_MEMORY))
         if not large.limit(1).count():
-            break
+            return done.unionByName(loops.select(*edges.columns))
         delta = F.when(F.col("size") > 3 * most, 0.01).when(F.col("size") > 2 * most, 0.005).when(F.col("size") > 1.5 * most, 0.002).otherwise(0.001)
         floor = large.groupBy("component").agg(F.min("cosine").alias("lowest"))
         open_ = cut(large.join(floor, "component").where(F.col("cosine") >= F.col("lowest") + delta).select(*edges.columns))
-    return done.unionByName(loops.select(*edges.columns))
+    raise RuntimeError(f"components are still too large after {rounds} rounds")
 
 
 def distance_from(edges: DataFrame, seeds: DataFrame, most: int = 3) -> DataFrame:
@@ -167,7 +180,7 @@ def distance_from(edges: DataFrame, seeds: DataFrame, most: int = 3) -> DataFram
 
 def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-7, most_rounds: int = 200, personal: DataFrame | None = None) -> DataFrame:
     """id, rank of directed edges (src, dst), adding up to 1. personal (id, weight) says where walks restart and where
-    nodes without successors lead; without it, or where its weights are all 0, anywhere alike."""
+    nodes without successors lead; without it, or where its weights are all 0, anywhere alike. Fails if most_rounds don't do."""
     own = cut(edges.where("src <> dst").select("src", "dst").distinct())
     nodes = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
     weights = nodes.withColumn("w", F.lit(1.0)) if personal is None else nodes.join(personal.select("id", F.col("weight").cast("double").alias("w")), "id", "left").fillna(0.0, ["w"])
@@ -189,8 +202,8 @@ def pagerank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-7, m
         change = after.agg(F.sum("change")).first()[0]
         ranks = after.select("id", "rank")
         if change < tolerance * total["n"]:
-            break
-    return ranks
+            return ranks
+    raise RuntimeError(f"ranks still change by {change} after {most_rounds} rounds")
 
 
 NEUTRAL_LOSSES = ("[M+H-NH3]+", "[M+H-H2O]+", "[M+H-NH3-H2O]+")

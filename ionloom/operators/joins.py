@@ -41,18 +41,24 @@ def near_exists(rows: DataFrame, value: str, others: DataFrame, other_value: str
 def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket: float, extra: Column | None = None, equal: list[str] | None = None) -> DataFrame:
     """Pairs of l and r (rt_mean, rt_min, rt_max) where one's centre lies in the other's interval, widened by the tolerance.
 
-    Intervals are dealt to the buckets that they reach, centres to their own. A baseline, that reaches everything, only
+    Rows are told apart by their places, so each pair of rows comes once. Intervals are dealt to the buckets that they reach, centres to their own. A baseline, that reaches everything, only
     gets the buckets that the other side's centres lie in.
     """
 
-    def centre_in(points: DataFrame, spans: DataFrame, p: str, s: str) -> DataFrame:
+    def inside(p: str, s: str) -> Column:
+        centre = F.col(f"{p}.rt_mean")
+        return F.coalesce((centre >= F.col(f"{s}.rt_min") - rt_tolerance) & (centre <= F.col(f"{s}.rt_max") + rt_tolerance), F.lit(False))
+
+    def centre_in(points: DataFrame, spans: DataFrame, p: str, s: str, unless: Column | None = None) -> DataFrame:
         bounds = points.agg(F.min("rt_mean").alias("_low"), F.max("rt_mean").alias("_high"))
         reach = spans.crossJoin(F.broadcast(bounds))
         low = F.floor(F.greatest(F.col("rt_min") - rt_tolerance, F.col("_low")) / bucket)
         high = F.floor(F.least(F.col("rt_max") + rt_tolerance, F.col("_high")) / bucket)
         dealt = reach.withColumn("_cell", F.explode(F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>")))).drop("_low", "_high").alias(s)
         own = points.withColumn("_cell", F.floor(F.col("rt_mean") / bucket)).alias(p)
-        on = (F.col(f"{p}._cell") == F.col(f"{s}._cell")) & (F.col(f"{p}.rt_mean") >= F.col(f"{s}.rt_min") - rt_tolerance) & (F.col(f"{p}.rt_mean") <= F.col(f"{s}.rt_max") + rt_tolerance)
+        on = (F.col(f"{p}._cell") == F.col(f"{s}._cell")) & inside(p, s)
+        if unless is not None:
+            on = on & ~unless
         for name in equal or []:
             on = on & (F.col(f"{p}.{name}") == F.col(f"{s}.{name}"))
         if extra is not None:
@@ -60,7 +66,8 @@ def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket
         fields = lambda side, cols: F.struct(*[F.col(f"{side}.{c}") for c in cols]).alias(side)
         return own.join(dealt, on).select(fields("l", left.columns), fields("r", right.columns))
 
-    return centre_in(left, right, "l", "r").unionByName(centre_in(right, left, "r", "l")).distinct()
+    # a centre has one bucket, so a pair is met once each way; those met the first way are left out of the second
+    return centre_in(left, right, "l", "r").unionByName(centre_in(right, left, "r", "l", inside("l", "r")))
 
 
 def nearest_peak(spectra: DataFrame, ms1: DataFrame, mz_tolerance: float, rt_tolerance: float, mean_width: float, keys: tuple[str, ...] = ("sample",)) -> DataFrame:

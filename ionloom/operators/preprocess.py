@@ -26,6 +26,11 @@ def blank_masses(spectra: DataFrame, tolerance: float) -> DataFrame:
     return almost_unique(spectra.where("is_blank").select("precursor_mz", "spectrum_id"), "precursor_mz", tolerance, ["precursor_mz", "spectrum_id"]).select("precursor_mz")
 
 
+def with_enough_peaks(spectra: DataFrame, least: int = 5) -> DataFrame:
+    """Spectra (peaks) of at least `least` peaks; the others aren't written out."""
+    return spectra.where(F.size("peaks") >= least)
+
+
 def presence(intensity):
     """A precursor's ion count, at least 1 so that it counts as there."""
     return F.when(intensity == 0, F.lit(1.0)).otherwise(intensity)

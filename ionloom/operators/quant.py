@@ -60,7 +60,7 @@ def hit_samples(clusters: DataFrame, hits: DataFrame, mz_tolerance: float) -> Da
 
 
 def noise_filtered(clusters: DataFrame, factor: float, blank: Column, value: str = "base_peak_int") -> DataFrame:
-    """Rows above median + factor * (third quartile - median), of blank rows where there are any, else of all."""
+    """Rows above median + factor * (third quartile - first), of blank rows where there are any, else of all."""
     return clusters.crossJoin(F.broadcast(cutoff(clusters, factor, blank, value))).where(F.col(value) > F.col("cutoff")).drop("cutoff")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ionloom.operators.graph import cut
+from ionloom.operators.graph import cut, numbered
 
 ORDER = ("isotopes", "adducts", "dimers", "multicharges", "fragments")
 
@@ -27,8 +27,7 @@ def symbolic_clusters(quant: DataFrame, clusters: DataFrame, annotations: DataFr
     for kind in ORDER:
         own = annotations.where(F.col("class") == kind).select(F.col("id").alias("origin"), "target").distinct().join(blanks, "target", "left_anti")
         targets = now.join(own, "origin").where(~F.array_contains("merged", F.col("target"))).groupBy("id", "origin", "merged").agg(F.array_sort(F.collect_set("target")).alias("more"))
-        numbered = targets.withColumn("place", F.row_number().over(Window.orderBy("id")))
-        fresh = cut(numbered.select((F.col("place") + F.lit(start) - 1).cast("long").alias("symbolic_id"), F.lit(kind).alias("class"), F.col("id").alias("source"), "origin", F.array_union("merged", "more").alias("merged")), "symbolic")
+        fresh = cut(numbered(targets, "id", "place").select((F.col("place") + F.lit(start) - 1).cast("long").alias("symbolic_id"), F.lit(kind).alias("class"), F.col("id").alias("source"), "origin", F.array_union("merged", "more").alias("merged")), "symbolic")
         start += fresh.count()
         made = fresh if made is None else made.unionByName(fresh)
         now = now.unionByName(fresh.select(F.col("symbolic_id").alias("id"), "origin", "merged"))

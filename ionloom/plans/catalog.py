@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ionloom.functions import kernels as K, scalars as S, stats
-from ionloom.operators import annotate, correlation, graph, islands, joins, library, preprocess, quant, similarity, symbolic
+from ionloom.operators import annotate, correlation, graph, islands, joins, library, preprocess, quant, similarity
 from ionloom.plans.lenses import CLUSTERS, COSINES, MEMBERS, METADATA, PEAKS, clusters, cosines, members, metadata, peaks, spectra, table
 from ionloom.sources.mgf import read_mgf, write_mgf
 from ionloom.streaming.ingest import event_counts
@@ -31,10 +31,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import ionloom.plans.more  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    import ionloom.plans.more  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -87,9 +91,9 @@ def hit_samples(spark, d):
     return quant.hit_samples(own.select("id", "mz"), hits, 0.05).select("id", F.array_join("hflag", ";").alias("hflag"))
 
 
-@query(f"WITH c AS ({CLUSTERS}), q AS (SELECT quantile_cont(base_peak_int, 0.5) + 1.5 * (quantile_cont(base_peak_int, 0.75) - quantile_cont(base_peak_int, 0.25)) AS cutoff FROM c WHERE blanks_total > 0) SELECT id, base_peak_int FROM c, q WHERE base_peak_int > cutoff")
+@query(f"WITH c AS ({CLUSTERS}), q AS (SELECT quantile_cont(base_peak_int, 0.5) + 0.25 * (quantile_cont(base_peak_int, 0.75) - quantile_cont(base_peak_int, 0.25)) AS cutoff FROM c WHERE blanks_total > 0) SELECT id, base_peak_int FROM c, q WHERE base_peak_int > cutoff")
 def noise_filter(spark, d):
-    return quant.noise_filtered(clusters(spark, d), 1.5, F.col("blanks_total") > 0).select("id", "base_peak_int")
+    return quant.noise_filtered(clusters(spark, d), 0.25, F.col("blanks_total") > 0).select("id", "base_peak_int")
 
 
 @query("SELECT l_returnflag, floor(quantile_cont(l_extendedprice, 0.25) * 1e3 + 0.25) / 1e3 AS q1, floor(quantile_cont(l_extendedprice, 0.5) * 1e3 + 0.25) / 1e3 AS median, floor(quantile_cont(l_extendedprice, 0.75) * 1e3 + 0.25) / 1e3 AS q3 FROM lineitem GROUP BY 1")
@@ -300,21 +304,6 @@ def matched_peak_pairs(spark, d):
     return met.select("id_a", "id_b", F.size(K.matched_pairs_of(F.col("p_a"), F.col("p_b"), F.lit(0.0), 0.25)).cast("long").alias("matched"))
 
 
-@query()
-def joined_peaks(spark, d):
-    own = spectra(spark, d).select("id", K.joined_peaks_of(F.col("peaks"), 1.5, F.col("precursor_mz")).alias("p"))
-    return own.select("id", F.size("p").alias("n"), _FOURTH(F.aggregate("p", F.lit(0.0), lambda a, x: a + x["intensity"] * x["intensity"])).alias("total"))
-
-
-@query()
-def trimmed_cosine(spark, d):
-    own = spectra(spark, d)
-    pairs = similarity.candidate_pairs(own, 0.25)
-    side = lambda s: own.select(F.col("id").alias(f"id_{s}"), F.col("precursor_mz").alias(f"m_{s}"), F.col("peaks").alias(f"p_{s}"))
-    met = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
-    return met.select("id_a", "id_b", K.trimmed_cosine_of(F.col("p_a"), F.col("p_b"), F.least("m_a", "m_b"), 0.25).alias("cosine"))
-
-
 # Networks ----------------------------------------------------------------------------------------------------------------
 
 
@@ -368,12 +357,6 @@ def _directed(spark, d):
     return graph.cut(own.unionByName(loops)), nodes.withColumns({"multicharge_ion": (F.col("id") % 19 == 0).cast("int"), "isotope_ion": (F.col("id") % 23 == 0).cast("int")})
 
 
-@query()
-def pagerank(spark, d):
-    edges, _ = _directed(spark, d)
-    return graph.pagerank(edges)
-
-
 @query()
 def protonated_representatives(spark, d):
     return graph.protonated_representatives(*_directed(spark, d))
@@ -525,57 +508,6 @@ def library_search(spark, d):
     return third.withColumn("rank", F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("cosine"), "compound_id"))).where("rank <= 10").select("cluster_id", "compound_id", "cosine", F.col("matched").cast("long").alias("matched"), F.col("rank").cast("long").alias("rank"))
 
 
-# Annotation -------------------------------------------------------------------------------------------------------------------
-
-RULES = [("[M+H]+", 1.007276, 1, 0, 0, 0, 0.0), ("[M+Na]+", 22.989218, 1, 0, 0, 0, 0.2), ("[M+K]+", 38.963158, 1, 1, 0, 0, 0.2), ("[M+2H]2+", 1.007276, 2, 0, 0, 0, 0.0), ("[2M+H]+", 1.007276, 1, 0, 0, 0, 0.3), ("[M+H-H2O]+", 18.01056, 1, 0, 0, 1, 0.2), ("[M+1]+", 0.0, 1, 0, 0, 0, 0.75)]
-_STEPS = (22.99, 18.01056, 1.0033, 4.5)
-
-
-def _variants(spark, d):
-    """Parts as clusters whose masses lie known steps apart."""
-    k = F.col("id")
-    step = F.element_at(F.array(*[F.lit(x) for x in (0.0, 21.981388, 1.0033, 18.01056)]), (k % 4 + 1).cast("int"))
-    base = F.lit(150.0) + F.floor(k / 4) * 3.37
-    mz = F.bround(base + step, 4)
-    return clusters(spark, d).select("id", mz.alias("mz"), (F.floor(k / 4) * 5.0).alias("rt_mean"), (F.floor(k / 4) * 5.0 - 2).alias("rt_min"), (F.floor(k / 4) * 5.0 + 2).alias("rt_max"), F.lit(0).cast("long").alias("blanks_total"), F.array(F.lit(1)).alias("batches"), F.lit(100.0).alias("area"), F.array(F.struct(F.lit(50.5).alias("mz"), F.lit(10.0).alias("intensity"))).alias("peaks"), F.lit(True).alias("strong"))
-
-
-def _annotated(spark, d):
-    own = _variants(spark, d)
-    pairs = annotate.coeluting(own, 1.0).withColumns({"sim": F.when((F.col("l.id") + F.col("r.id")) % 5 == 0, 0.3).otherwise(0.8), "trim_sim": F.lit(0.1)})
-    rules = spark.createDataFrame(RULES, "ion string, mzdiff double, charge int, neutral_loss_h2o int, neutral_loss_nh3 int, neutral_loss int, sim_cutoff double")
-    return graph.cut(annotate.annotated_pairs(pairs, rules, annotate.isotopic_evidence(pairs, 0.05), 0.025, 0.05), "annotated"), pairs
-
-
-@query()
-def ion_annotation(spark, d):
-    return _annotated(spark, d)[0]
-
-
-@query()
-def annotation_columns(spark, d):
-    found, pairs = _annotated(spark, d)
-    samples = _variants(spark, d).select("id", F.array((F.col("id") % 3).cast("string"), F.lit("x")).alias("samples"))
-    return annotate.annotation_columns(found, annotate.pair_details(pairs, samples))
-
-
-@query()
-def annotation_network(spark, d):
-    found, pairs = _annotated(spark, d)
-    samples = _variants(spark, d).select("id", F.array(F.lit("x")).alias("samples"))
-    return annotate.annotation_network(found, _variants(spark, d).select("id"), annotate.pair_details(pairs, samples))
-
-
-@query()
-def symbolic_clusters(spark, d):
-    found, _ = _annotated(spark, d)
-    kind = F.when(F.col("class") == "isotope", "isotopes").when(F.col("class") == "adduct", "adducts").when(F.col("class") == "dimer", "dimers").when(F.col("class") == "fragment", "fragments").otherwise("multicharges")
-    links = found.where("class not in ('analog', 'neutral_loss')").select(F.col("dst").alias("id"), kind.alias("class"), F.col("src").alias("target"))
-    known = clusters(spark, d).select("id", "blanks_total", F.lit(1).alias("representative"))
-    made, _ = symbolic.symbolic_clusters(quant.quantify(members(spark, d)), known, links)
-    return made.select("symbolic_id", "class", "source", F.array_join("merged", ";").alias("merged"))
-
-
 # Pre-processing ----------------------------------------------------------------------------------------------------------------
 
 
