@@ -2,12 +2,14 @@
 
 Rows sorted by m/z are cut where neighbours lie further apart than any merge can reach. A merged row's m/z is a weighted
 mean, so it stays among its members', and no merge crosses a cut: islands are groups that run in parallel with the same
-results as one pass over everything.
+results as one pass over everything. Rows that merge only where they elute together are cut by time inside each island too,
+and by m/z once more inside those; a baseline, that elutes with everything, holds its island together.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right, insort
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -43,13 +45,29 @@ def islands(rows: DataFrame, mz: str, tolerance: float) -> DataFrame:
     return own.join(starts, "_cell").withColumn("island", F.col("_start") + F.col("_run")).drop("_cell", "_run", "_start")
 
 
+def timed_islands(rows: DataFrame, mz: str, tolerance: float, rt_tolerance: float) -> DataFrame:
+    """rows (rt_mean, rt_min, rt_max) with `island`: a number shared by rows that no gaps in m/z and in time part.
+
+    A row reaches over its interval and centre; so does one that it merges into, over those of all its members.
+    """
+    low, high = F.least("rt_min", "rt_mean"), F.greatest("rt_max", "rt_mean")
+    own = islands(rows, mz, tolerance).withColumnRenamed("island", "_by_mz")
+    order = Window.partitionBy("_by_mz").orderBy("_low", "_high")
+    own = own.withColumns({"_low": low, "_high": high}).withColumn("_reach", F.max("_high").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    own = own.withColumn("_by_rt", F.sum(F.when(F.col("_low") - F.col("_reach") > rt_tolerance + GUARD, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    inner = Window.partitionBy("_by_mz", "_by_rt").orderBy(mz)
+    own = own.withColumn("_gap", F.col(mz) - F.lag(mz).over(inner) > tolerance + GUARD)
+    own = own.withColumn("_part", F.sum(F.when(F.col("_gap"), 1).otherwise(0)).over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+    return own.withColumn("island", F.struct("_by_mz", "_by_rt", "_part")).drop("_by_mz", "_by_rt", "_part", "_low", "_high", "_reach", "_gap")
+
+
 # Greedy cleaning -----------------------------------------------------------------------------------------------------
 
 CLEAN_COLUMNS = "id long, mz double, rt_mean double, rt_min double, rt_max double, num_spectra long, sum_ints double, base_peak_int double, blanks_total long, bflag boolean, peak_ids array<string>"
 
 
 class _Row:
-    __slots__ = ("id", "mz", "rt_mean", "rt_min", "rt_max", "num_spectra", "sum_ints", "base", "blanks", "bflag", "peaks", "members")
+    __slots__ = ("id", "mz", "rt_mean", "rt_min", "rt_max", "num_spectra", "sum_ints", "base", "blanks", "bflag", "peaks", "members", "slot")
 
     def __init__(self, r):
         self.id, self.mz, self.rt_mean, self.rt_min, self.rt_max = int(r.id), r.mz, r.rt_mean, r.rt_min, r.rt_max
@@ -83,24 +101,35 @@ def clean_island(rows: list[_Row], pairs: dict[tuple[int, int], float], similari
     Within a step similarities are those of its start; after it a pair of merged rows has its members' largest.
     similarity None: every row that elutes together with the seed joins it.
     """
-    rows = sorted(rows, key=lambda r: r.id)
+    slots: list[_Row | None] = sorted(rows, key=lambda r: r.id)  # a merged row takes its seed's place
+    for k, r in enumerate(slots):
+        r.slot = k
+    by_mz = sorted((r.mz, r.slot) for r in slots)
     sim = dict(pairs)
     joined: set[int] = set()
     step = 0 if any_blank else 1
     while True:
-        rep = {r.id: r.id for r in rows}
+        rep = {r.id: r.id for r in slots if r is not None}
+        stands_for = {k: [k] for k in rep}
+        likes: dict[int, list[int]] = {}
+        if similarity is not None:
+            for (a, b), c in sim.items():
+                if c >= similarity:
+                    likes.setdefault(a, []).append(b)
+                    likes.setdefault(b, []).append(a)
         changed: set[int] = set()
-        i = 0
-        while i < len(rows):
-            seed = rows[i]
+        for seed in slots:
+            if seed is None or slots[seed.slot] is not seed:  # merged into another meanwhile
+                continue
             if step == 0 and seed.blanks == 0 or step > 1 and seed.id not in joined:
-                i += 1
                 continue
-            near = [r for r in rows if abs(r.mz - seed.mz) <= mz_tol and (seed.rt_min - rt_tol <= r.rt_mean <= seed.rt_max + rt_tol or r.rt_min - rt_tol <= seed.rt_mean <= r.rt_max + rt_tol)]
+            window = by_mz[bisect_left(by_mz, (seed.mz - mz_tol - GUARD, -1)) : bisect_right(by_mz, (seed.mz + mz_tol + GUARD, len(slots)))]
+            near = [slots[k] for k in sorted(k for _, k in window)]
+            near = [r for r in near if abs(r.mz - seed.mz) <= mz_tol and (seed.rt_min - rt_tol <= r.rt_mean <= seed.rt_max + rt_tol or r.rt_min - rt_tol <= seed.rt_mean <= r.rt_max + rt_tol)]
             if not any_blank or not seed.bflag:
                 near = [r for r in near if r is seed or abs(r.rt_mean - seed.rt_mean) <= 4 * rt_tol or math.sqrt(((r.rt_min - seed.rt_min) ** 2 + (r.rt_max - seed.rt_max) ** 2) / 2) <= 2 * rt_tol]
             if similarity is not None:
-                like = {rep.get(x, x) for k, c in sim.items() if c >= similarity and seed.id in k for x in k}
+                like = {rep.get(x, x) for x in likes.get(seed.id, ())}
                 own = [p for p in seed.peaks if not p.startswith("fake_")]
                 low = cutoff >= 0
                 take = []
@@ -114,19 +143,20 @@ def clean_island(rows: list[_Row], pairs: dict[tuple[int, int], float], similari
                         take.append(r)
                 near = take
             if len(near) < 2:
-                i += 1
                 continue
-            gone = {id(r) for r in near}
-            before = sum(1 for r in rows[:i] if id(r) in gone)
+            place = seed.slot
+            for r in near:
+                del by_mz[bisect_left(by_mz, (r.mz, r.slot))]
+                slots[r.slot] = None
             ids = {r.id for r in near}
             whole = _merge(near)
-            for k, v in rep.items():
-                if v in ids:
-                    rep[k] = whole.id
-            rows = [whole if r is seed else r for r in rows if r is seed or id(r) not in gone]
-            changed.discard(seed.id)
+            held = [k for x in sorted(ids) for k in stands_for.pop(x)]
+            for k in held:
+                rep[k] = whole.id
+            stands_for[whole.id] = held
+            whole.slot, slots[place] = place, whole
+            insort(by_mz, (whole.mz, place))
             changed = {c for c in changed if c not in ids} | {whole.id}
-            i += 1 - before
         after: dict[tuple[int, int], float] = {}
         for (a, b), c in sim.items():
             x, y = rep.get(a, a), rep.get(b, b)
@@ -135,7 +165,7 @@ def clean_island(rows: list[_Row], pairs: dict[tuple[int, int], float], similari
                 after[key] = max(c, after.get(key, 0.0))
         sim, joined = after, changed
         if step >= 1 and (not changed or step == most_steps):
-            return rows
+            return [r for r in slots if r is not None]
         step += 1
 
 
@@ -145,7 +175,7 @@ def greedy_clean(clusters: DataFrame, pairs: DataFrame | None, mz_tolerance: flo
     Without pairs or similarity (MS1 peaks alone) all rows that elute together are merged.
     """
     blanks = bool(clusters.where("blanks_total > 0").limit(1).count())
-    placed = cut(islands(clusters, "mz", mz_tolerance), "islands")
+    placed = cut(timed_islands(clusters, "mz", mz_tolerance, rt_tolerance), "islands")
     where = placed.select("id", "island")
     empty = clusters.sparkSession.createDataFrame([], "id_a long, id_b long, cosine double")
     within = (pairs.select("id_a", "id_b", "cosine") if pairs is not None else empty).join(where.select(F.col("id").alias("id_a"), "island"), "id_a").join(where.select(F.col("id").alias("id_b"), F.col("island").alias("other")), "id_b").where("island = other").drop("other")
@@ -189,39 +219,42 @@ def _cluster_island(left: pd.DataFrame, window: float, tolerance: float, rt_tol:
     for k in range(rounds):
         level = similarity if rounds == 1 else first + (similarity - first) * k / (rounds - 1)
         reach = window if k == 0 else 2 * window
-        moved = True
-        while moved:
-            moved = False
-            items.sort(key=lambda x: (x["mz"], x["ids"][0]))
-            for i, a in enumerate(items):
-                best = None
-                for b in items[i + 1 :]:
-                    if b["mz"] - a["mz"] > reach:
-                        break
-                    if abs(len(a["peaks"]) - len(b["peaks"])) > 30 or not near(a, b):
-                        continue
-                    if not any(x + d in b["keys"] for x in a["keys"] for d in (-2, -1, 0, 1, 2)):
-                        continue
-                    key = (id(a), id(b))
-                    if key not in scores:
-                        scores[key] = min(1.0, cosine([m for m, _ in a["peaks"]], [v for _, v in a["peaks"]], [m for m, _ in b["peaks"]], [v for _, v in b["peaks"]], tolerance))
-                    s = scores[key]
-                    if s >= max(level, least_candidate) and (best is None or s > best[0]):
-                        best = (s, b)
-                        if k == 0:
-                            break
-                if best:
-                    b = best[1]
-                    w = a["weight"] + b["weight"]
-                    mean = lambda n, a=a, b=b, w=w: (a[n] * a["weight"] + b[n] * b["weight"]) / w
-                    baseline = any(x["low"] == 0 and x["high"] == 1_000_000 for x in (a, b))
-                    mz, v = consensus_peaks([a["peaks"], b["peaks"]], [len(a["ids"]), len(b["ids"])], tolerance)
-                    _, keys = distance_peaks(mz, v, mean("mz"))
-                    fresh = {"ids": sorted(a["ids"] + b["ids"]), "mz": mean("mz"), "rt": mean("rt"), "low": 0.0 if baseline else mean("low"), "high": 1_000_000.0 if baseline else mean("high"), "weight": w, "peaks": list(zip(mz, v, strict=True)), "keys": {int(mz[x] / tolerance) for x in keys}}
-                    fresh["was"] = (a, b)  # keeps both alive, so that their place in memory isn't another's
-                    items = [x for x in items if x is not a and x is not b] + [fresh]
-                    moved = True
+        place = lambda x: (x["mz"], x["ids"][0])
+        items.sort(key=place)
+        i = 0
+        while i < len(items):
+            a, best = items[i], None
+            for b in items[i + 1 :] if i + 1 < len(items) and items[i + 1]["mz"] - a["mz"] <= reach else ():
+                if b["mz"] - a["mz"] > reach:
                     break
+                if abs(len(a["peaks"]) - len(b["peaks"])) > 30 or not near(a, b):
+                    continue
+                if not any(x + d in b["keys"] for x in a["keys"] for d in (-2, -1, 0, 1, 2)):
+                    continue
+                key = (id(a), id(b))
+                if key not in scores:
+                    scores[key] = min(1.0, cosine([m for m, _ in a["peaks"]], [v for _, v in a["peaks"]], [m for m, _ in b["peaks"]], [v for _, v in b["peaks"]], tolerance))
+                s = scores[key]
+                if s >= max(level, least_candidate) and (best is None or s > best[0]):
+                    best = (s, b)
+                    if k == 0:
+                        break
+            if not best:
+                i += 1
+                continue
+            b = best[1]
+            w = a["weight"] + b["weight"]
+            mean = lambda n, a=a, b=b, w=w: (a[n] * a["weight"] + b[n] * b["weight"]) / w
+            baseline = any(x["low"] == 0 and x["high"] == 1_000_000 for x in (a, b))
+            mz, v = consensus_peaks([a["peaks"], b["peaks"]], [len(a["ids"]), len(b["ids"])], tolerance)
+            _, keys = distance_peaks(mz, v, mean("mz"))
+            fresh = {"ids": sorted(a["ids"] + b["ids"]), "mz": mean("mz"), "rt": mean("rt"), "low": 0.0 if baseline else mean("low"), "high": 1_000_000.0 if baseline else mean("high"), "weight": w, "peaks": list(zip(mz, v, strict=True)), "keys": {int(mz[x] / tolerance) for x in keys}}
+            fresh["was"] = (a, b)  # keeps both alive, so that their place in memory isn't another's
+            del items[next(j for j in range(i + 1, len(items)) if items[j] is b)]
+            del items[i]
+            insort(items, fresh, key=place)
+            # rows before it found no partner and only the new one could be theirs: on from the first that reaches it
+            i = min(i, bisect_left(items, fresh["mz"] - reach, key=lambda x: x["mz"]))
     return [(x["ids"][0], m) for x in items for m in x["ids"]]
 
 

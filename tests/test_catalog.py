@@ -10,7 +10,7 @@ import pytest
 from ionloom.plans import catalog
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"similarity_network", "protonated_network", "prune_components"}
+SLOW = {"similarity_network", "protonated_network", "prune_components", "similarity_network_whole", "pagerank"}
 
 
 @pytest.fixture(scope="module")

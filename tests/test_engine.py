@@ -207,3 +207,25 @@ def test_metadata_rules(spark):
 def test_entry_works_without_the_llm_folder():
     code = "import sys; sys.modules['ionloom.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); assert 'quant_spectra_pivot' in q and not any(k.startswith('op') and k[2].isdigit() for k in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=__file__.rsplit("/tests/", 1)[0], timeout=120)
+
+
+def test_components_fail_loudly(spark, monkeypatch):
+    monkeypatch.setattr(graph, "MOST_ROUNDS", 1)
+    chain = spark.range(200).select(F.col("id").alias("id_a"), (F.col("id") + 1).alias("id_b"))
+    with pytest.raises(RuntimeError):
+        graph.components(chain)
+    with pytest.raises(RuntimeError):
+        graph.pagerank(chain.withColumnsRenamed({"id_a": "src", "id_b": "dst"}), tolerance=0.0, most_rounds=2)
+
+
+def test_numbers_follow_the_order(spark):
+    got = graph.numbered(spark.range(1000).select((F.col("id") * 7919 % 1009).alias("x")).repartition(5), "x", "place").collect()
+    assert [r.place for r in sorted(got, key=lambda r: r.x)] == list(range(1, 1001))
+
+
+def test_time_parts_islands(spark):
+    rows = [(i, 100.0 + 0.01 * i, 50.0 * (i % 3), 50.0 * (i % 3) - 2, 50.0 * (i % 3) + 2) for i in range(30)]
+    own = spark.createDataFrame(rows, "id long, mz double, rt_mean double, rt_min double, rt_max double")
+    assert islands.islands(own, "mz", 0.025).select("island").distinct().count() == 1
+    assert islands.timed_islands(own, "mz", 0.035, 1.0).select("island").distinct().count() == 3
+    assert islands.timed_islands(own, "mz", 0.025, 1.0).select("island").distinct().count() == 30
