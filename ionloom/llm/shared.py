@@ -28,11 +28,13 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where none is set, a local folder (tests)."""
+    """spark.checkpoint.dir of the session; where none is set, a local folder for a local master (tests) alone."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         if spark.sparkContext.getCheckpointDir():
             return spark.sparkContext.getCheckpointDir()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         where = "file://" + tempfile.mkdtemp(prefix="ionloom-")
         spark.sparkContext.setCheckpointDir(where)
     return where
