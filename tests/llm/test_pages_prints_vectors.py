@@ -256,3 +256,10 @@ def test_fewer_lists_are_probed_where_vectors_have_structure():
     near = rng.normal(size=(100, 32))[rng.integers(0, 100, 4000)] + 0.2 * spread
     probes = [neighbours.probes_for(neighbours.fit(x, 100), x, 5, 0.95) for x in (spread, near)]
     assert probes[1] < 10 < probes[0]
+
+
+def test_each_query_gets_its_five(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(3000, 24)))]
+    got = neighbours.nearest(spark.createDataFrame(rows, VECTORS), wanted_recall=0.2)  # few lists are probed
+    assert {r["count"] for r in got.groupBy("query_id").count().collect()} == {5} and got.select("query_id", "vec_id").distinct().count() == got.count() == 300
