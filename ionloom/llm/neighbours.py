@@ -155,7 +155,11 @@ def _matrix(column, d: int) -> np.ndarray:
 
 
 def distinct_enough(own: DataFrame, k: int) -> DataFrame:
-    """Of rows with equal vectors those that can be among the k nearest of any query: the k + 1 smallest ids, each k times at most."""
+    """Candidates: of rows with equal vectors all that can be among the k nearest of any query, the k + 1 smallest ids, each k times at most.
+
+    Nothing is lost: equal vectors are equally near to a query and ties go to the smaller id, so before each row left out come
+    k others at least that aren't the query's own. Queries are not taken from these rows but from all.
+    """
     rows = own.withColumn("_n", F.row_number().over(Window.partitionBy("embedding", "vec_id").orderBy("vec_id"))).where(F.col("_n") <= k)
     rows = rows.withColumn("_n", F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))).where(F.col("_n") <= k + 1)
     return rows.drop("_n")
@@ -167,9 +171,11 @@ def nearest(vectors: DataFrame, k: int = 5, query_every: int = 50, wanted_recall
     Vectors that are null, zero, of another length than most, or that hold null or non-finite components take no part;
     nor do rows without vec_id. All rows are indexed; the lists are fitted on at most sample_rows. Rows that share a
     vec_id are candidates of their own, but never for their own id; of those that share a query's, the one with the
-    smallest vector asks. Fewer candidates than k are all returned. Extra columns play no part. No rows give no rows.
+    smallest vector asks, however many rows equal it. Fewer candidates than k are all returned. Extra columns play no part. No
+    rows give no rows.
     """
-    own = kept(distinct_enough(usable(vectors), k).withColumn("row", F.monotonically_increasing_id()), "ann-rows")  # numbers hold once they are written
+    every_row = usable(vectors)
+    own = kept(distinct_enough(every_row, k).withColumn("row", F.monotonically_increasing_id()), "ann-rows")  # numbers hold once they are written
     spark = own.sparkSession
     n = own.count()
     if not n:
@@ -237,7 +243,7 @@ def nearest(vectors: DataFrame, k: int = 5, query_every: int = 50, wanted_recall
                 taken = pa.array(out["row"], pa.int64())
                 yield record_batch(asked_schema, group=out["group"], vec_id=batch.column("vec_id").take(taken), embedding=batch.column("embedding").take(taken), bound=bound[out["row"]], lists=out["lists"], hits=out["hits"])
 
-    asking = placed.where(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asking = every_row.where(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = kept(asking.mapInArrow(probe, "group int, vec_id long, embedding array<double>, bound double, lists array<int>, hits array<struct<row:long,vec_id:long,score:double>>"), "ann-queries")
     sizes, asked_sizes = ({r["group"]: r["count"] for r in x.groupBy("group").count().collect()} for x in (placed, asked))  # LIST_GROUPS rows at most
     shape = spark.createDataFrame([(g, -(-sizes[g] // BLOCK_ROWS), -(-max(1, asked_sizes.get(g, 0)) // BLOCK_QUERIES)) for g in sorted(sizes)], "group int, n_blocks int, n_asked int")

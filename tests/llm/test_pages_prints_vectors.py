@@ -263,3 +263,10 @@ def test_each_query_gets_its_five(spark):
     rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(3000, 24)))]
     got = neighbours.nearest(spark.createDataFrame(rows, VECTORS), wanted_recall=0.2)  # few lists are probed
     assert {r["count"] for r in got.groupBy("query_id").count().collect()} == {5} and got.select("query_id", "vec_id").distinct().count() == got.count() == 300
+
+
+def test_queries_among_many_equal_vectors_all_ask(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(0, 1000, 10)] + [(i, [2.0, 1.0]) for i in range(3, 60, 10)]
+    got = neighbours.nearest(spark.createDataFrame(rows, VECTORS)).collect()
+    asked = range(0, 1000, 50)
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(q, k + 1, v) for q in asked for k, v in enumerate([v for v in range(0, 100, 10) if v != q][:5])]
