@@ -2,8 +2,8 @@
 
 The model predicts a token's symbol from the two before it. Frequent words are symbols of their own, as many as the square
 root of the training tokens; the others share symbols by their last two letters, the most frequent endings of the corpus.
-The model is trained by noise-contrastive estimation on windows of every training text, in the tasks that read them: each
-pass starts from the average of what the tasks of the pass before have learnt. Within a shared symbol a word has its add-one
+The model is trained by noise-contrastive estimation on every token of every training text, in the tasks that read them,
+by the same rule for inputs of all sizes: each pass starts from the average of what the tasks of the pass before have learnt. Within a shared symbol a word has its add-one
 share; one place there is for words never seen. So the probabilities of a token add up to one.
 
 What follows each of the known words is counted as well, over all training texts; followers seen once are left to the
@@ -37,9 +37,8 @@ LEAST_PAIR, MAP_BITS = 2, 1 << 27
 COUNTED_WORDS = 200_000
 #: Words whose symbols a worker remembers, and bytes of text that it scores at a time.
 MEMO_WORDS, SCORED_BYTES = 100_000, 1 << 20
-#: Passes of training; in each, one window of so many tokens in WINDOW_EVERY, others in each pass, over all texts. A corpus
-#: of fewer than FEWEST_TRAINED tokens for each of these has more of its windows taken, up to all; a task takes as many steps at least.
-PASSES, WINDOW, WINDOW_EVERY, FEWEST_TRAINED, FEWEST_STEPS = 2, 64, 16, 1 << 20, 100
+#: Passes of training; each takes every token of all training texts once.
+PASSES = 2
 #: Models of tasks that one task adds up, in so many parts.
 FAN_IN, PARTS = 64, 16
 _END_HASH, _ODD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
@@ -177,7 +176,6 @@ def trained(docs: DataFrame, own: list[bytes], endings: list[bytes], counts: np.
     model = LogBilinear(counts)
     if not counts.sum():
         return model
-    every = max(1, min(WINDOW_EVERY, int(counts.sum()) // FEWEST_TRAINED))
     text = docs.select(F.col("text").cast("string"))
     n_tasks = docs.rdd.getNumPartitions()
 
@@ -197,22 +195,18 @@ def trained(docs: DataFrame, own: list[bytes], endings: list[bytes], counts: np.
             symbols, local = Symbols(words, some), LogBilinear(times).load(vector)
             trainer = Trainer(local, seed=turn * 1_000_003 + node)
             held: list[tuple] = []
-            size, at = 0, 0
+            size = 0
             for batch in batches:
                 for _, _, items in text_slices(batch.column("text"), SCORED_BYTES):
                     s, starts = symbols_of([tokens(x) for x in items], symbols)
                     two, one = contexts_of(s, starts, symbols.end)
-                    chosen = (np.arange(at, at + len(s)) // WINDOW + turn) % every == 0
-                    at += len(s)
-                    held.append((two[chosen], one[chosen], s[chosen]))
-                    size += len(held[-1][0])
+                    held.append((two, one, s))
+                    size += len(s)
                     if size >= 16 * BATCH:
                         _steps(trainer, held)
                         held, size = [], 0
-            while size:
+            if size:
                 _steps(trainer, held)
-                if trainer.seen >= FEWEST_STEPS * min(size, BATCH):
-                    break
             if trainer.seen:
                 parts = np.array_split(local.vector * np.float32(trainer.seen), PARTS)
                 yield record_batch(schema, part=np.arange(PARTS, dtype=np.int32), node=np.full(PARTS, node), weight=np.full(PARTS, float(trainer.seen)), sum=[p.astype(np.float32).tobytes() for p in parts])

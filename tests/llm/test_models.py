@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
@@ -244,6 +245,21 @@ def test_scores_are_those_of_a_plain_loop(spark, monkeypatch):
     assert [x for _, x in close] == pytest.approx([x for _, x in sorted(want)], abs=0.02)
 
 
+@pytest.mark.parametrize("times", [1, 10**6])
+def test_each_pass_takes_every_token_once_whatever_the_size(spark, monkeypatch, tmp_path, times):
+    steps, folder = language_model._steps, str(tmp_path)
+
+    def noted(trainer, held):
+        with open(f"{folder}/{uuid.uuid4()}", "w") as out:
+            out.write(str(sum(len(h[0]) for h in held)))
+        steps(trainer, held)
+
+    monkeypatch.setattr(language_model, "_steps", noted)
+    rows = [(i, " ".join(["aa", "bb", "cc"] * 400), "en", "s", None) for i in range(30)]
+    language_model.trained(frame(spark, rows), [b"aa", b"bb"], [b"cc"], times * np.array([12_000, 12_000, 30, 12_000, 0]), passes=2)
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 2 * 30 * 1201
+
+
 def test_no_training_text(spark):
     assert language_model.score(empty(spark)).count() == 0
     lone = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
