@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import subprocess
 import sys
@@ -10,6 +11,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
+from ionloom.functions import stats
 from ionloom.operators import annotate, correlation, graph, islands, joins, library, quant, symbolic
 from ionloom.schema import checked_metadata
 
@@ -229,3 +231,21 @@ def test_time_parts_islands(spark):
     assert islands.islands(own, "mz", 0.025).select("island").distinct().count() == 1
     assert islands.timed_islands(own, "mz", 0.035, 1.0).select("island").distinct().count() == 3
     assert islands.timed_islands(own, "mz", 0.025, 1.0).select("island").distinct().count() == 30
+
+
+def test_kendall_is_the_sum_over_pairs_that_never_become_rows(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.choice([None, *range(n)]) if k == 3 else i, float(rng.randrange(m)), None if rng.random() < 0.05 else float(rng.randrange(9))) for k, n, m in ((1, 70, 9), (2, 41, 1), (3, 50, 30), (4, 1, 1), (5, 2, 5)) for i in range(n)]
+    rows += [(None, 1, 1.0, 2.0), (None, 2, 2.0, 3.0), (6, 1, math.nan, 2.0), (6, 2, 1.0, 3.0)]
+    d = spark.createDataFrame(rows, "key long, o long, x double, y double")
+    found = stats.kendall(d, ["key"], "x", "y", "o")
+    want = {}
+    for key in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == key and r[3] is not None]
+        sign = [((a[2] > b[2]) - (a[2] < b[2]), (a[3] > b[3]) - (a[3] < b[3])) for a, b in itertools.combinations(own, 2) if None not in (a[1], b[1]) and a[1] != b[1]]
+        s, nx, ny = sum(x * y for x, y in sign), sum(abs(x) for x, _ in sign), sum(abs(y) for _, y in sign)
+        want[key] = (len(own), s / math.sqrt(nx * ny) if nx and ny and key else None)
+    got = {r.key: (r.n, r.corr) for r in found.collect()}
+    assert math.isnan(got.pop(6)[1]) and want.pop(6)
+    assert got == {k: (n, c if c is None else pytest.approx(c)) for k, (n, c) in want.items() if n}
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
