@@ -38,6 +38,19 @@ def near_exists(rows: DataFrame, value: str, others: DataFrame, other_value: str
     return rows.join(hit, rows[value] == hit["_hit"], "left").withColumn(flag, F.col("_hit").isNotNull()).drop("_hit")
 
 
+def median_width(rows: DataFrame, low: str, high: str, tolerance: float) -> float:
+    """Of intervals widened by the tolerance, about; 1 where they have none. It sets the size of buckets, never what meets."""
+    found = rows.agg(F.percentile_approx(F.col(high) - F.col(low), 0.5, 1000)).first()[0]
+    width = (found or 0.0) + 2 * tolerance
+    return float(width) if 0 < width < float("inf") else 1.0
+
+
+def cells(low: Column, high: Column, width: float) -> Column:
+    """Numbers of the buckets between low and high."""
+    a, b = F.floor(low / width), F.floor(high / width)
+    return F.when(b >= a, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+
+
 def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket: float, extra: Column | None = None, equal: list[str] | None = None) -> DataFrame:
     """Pairs of l and r (rt_mean, rt_min, rt_max) where one's centre lies in the other's interval, widened by the tolerance.
 
@@ -77,18 +90,25 @@ def nearest_peak(spectra: DataFrame, ms1: DataFrame, mz_tolerance: float, rt_tol
     keys. Ties go to the smaller peak_id. Without a peak: a fake one around the spectrum's time, or, for blanks, none but
     the baseline (is_baseline).
     """
-    l, r = spectra.alias("l"), ms1.withColumn("_mid", (F.col("mz_min") + F.col("mz_max")) / 2).withColumn("_half", (F.col("mz_max") - F.col("mz_min")) / 2)
-    width = float(max(mz_tolerance * 4, 0.1))
-    low, high = F.floor((F.col("mz_min") - mz_tolerance) / width), F.floor((F.col("mz_max") + mz_tolerance) / width)
-    r = r.withColumn("_cell", F.explode(F.sequence(low, high))).alias("r")
-    l = l.withColumn("_cell", F.floor(F.col("mz") / width)).alias("l")
-    inside = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [
-        F.col("l._cell") == F.col("r._cell"), F.col("l.mz").between(F.col("r.mz_min") - mz_tolerance, F.col("r.mz_max") + mz_tolerance),
-        F.col("l.rt").between(F.col("r.rt_min") - rt_tolerance, F.col("r.rt_max") + rt_tolerance),
+    # spectra alike in m/z and time find the same; peaks alike in their ranges are one, with their number and the first of their ids
+    asking = spectra.where("mz is not null and rt is not null").select(*keys, "mz", "rt")
+    limits = asking.agg(*[f(c) for c in ("mz", "rt") for f in (F.min, F.max)]).first()
+    alike = ms1.groupBy(*keys, "mz_min", "mz_max", "rt", "rt_min", "rt_max").agg(F.min(F.struct("peak_id", "area")).alias("first"), F.count("*").alias("n"))
+    l, r = asking.distinct(), alike
+    for c, tolerance, (least, most) in (("mz", mz_tolerance, limits[:2]), ("rt", rt_tolerance, limits[2:])):
+        width = median_width(ms1, f"{c}_min", f"{c}_max", tolerance)
+        l = l.withColumn(f"_{c}", F.floor(F.col(c) / width))
+        r = r.withColumn(f"_{c}", F.explode(cells(F.greatest(F.col(f"{c}_min") - tolerance, F.lit(least)), F.least(F.col(f"{c}_max") + tolerance, F.lit(most)), width)))
+    inside = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in (*keys, "_mz", "_rt")] + [
+        F.col("l.mz").between(F.col("r.mz_min") - mz_tolerance, F.col("r.mz_max") + mz_tolerance), F.col("l.rt").between(F.col("r.rt_min") - rt_tolerance, F.col("r.rt_max") + rt_tolerance),
     ]
-    met = l.join(r, reduce(Column.__and__, inside), "inner").select("l.spectrum_id", F.struct(F.abs(F.col("l.rt") - F.col("r.rt")).alias("gap"), F.col("r.peak_id").alias("peak_id"), F.col("r.rt_min").alias("rt_min"), F.col("r.rt_max").alias("rt_max"), F.col("r.area").alias("area")).alias("peak"))
-    best = met.groupBy("spectrum_id").agg(F.min("peak").alias("peak"), F.count("*").alias("n_candidates"))
-    out = spectra.join(best, "spectrum_id", "left")
+    met = l.alias("l").hint("merge").join(r.alias("r"), reduce(Column.__and__, inside))
+    place = [F.col(f"l.{c}") for c in (*keys, "mz", "rt")]
+    met = met.select(*place, F.struct(F.abs(F.col("l.rt") - F.col("r.rt")).alias("gap"), F.col("r.first.peak_id").alias("peak_id"), F.col("r.rt_min").alias("rt_min"), F.col("r.rt_max").alias("rt_max"), F.col("r.first.area").alias("area")).alias("_peak"), F.col("r.n").alias("_n"))
+    best = met.groupBy(*keys, "mz", "rt").agg(F.min("_peak").alias("_peak"), F.sum("_n").alias("_n"))
+    # rows that share a spectrum_id share what any of them has found
+    one, named = Window.partitionBy("spectrum_id"), F.col("spectrum_id").isNotNull()
+    out = spectra.join(best, [*keys, "mz", "rt"], "left").withColumns({"peak": F.when(named, F.min("_peak").over(one)), "n_candidates": F.when(named, F.sum("_n").over(one))})
     fake = F.col("peak").isNull()
     half = mean_width / 2
     return out.select(

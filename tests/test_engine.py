@@ -249,3 +249,20 @@ def test_kendall_is_the_sum_over_pairs_that_never_become_rows(spark):
     assert math.isnan(got.pop(6)[1]) and want.pop(6)
     assert got == {k: (n, c if c is None else pytest.approx(c)) for k, (n, c) in want.items() if n}
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def _plan(d):
+    return d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_peak_is_that_of_all_pairs_and_peaks_are_not_broadcast(spark):
+    rng = random.Random(6)
+    s = [(i // 2 if i < 20 else i, rng.choice("ab"), rng.choice([None, 5.0, round(rng.uniform(0, 20), 1)]), float(rng.randrange(60)), i % 3 == 0) for i in range(300)]
+    p = [(f"p{k}", rng.choice("ab"), mz, mz + rng.choice([0.5, 1.0, 30.0]), rt, rt - rng.randrange(4), rt + rng.choice([1, 4, 1_000_000]), float(k)) for k in range(150) for mz, rt in [(rng.choice([4.5, round(rng.uniform(0, 20), 1)]), float(rng.randrange(60)))]]
+    d = joins.nearest_peak(spark.createDataFrame(s, "spectrum_id long, sample string, mz double, rt double, is_blank boolean"), spark.createDataFrame(p, "peak_id string, sample string, mz_min double, mz_max double, rt double, rt_min double, rt_max double, area double"), 0.05, 3.0, 6.0)
+    met = {}
+    for i, sample, mz, rt, _ in s:
+        met.setdefault(i, []).extend((abs(rt - q[4]), q[0], q[7]) for q in p if mz is not None and q[1] == sample and q[2] - 0.05 <= mz <= q[3] + 0.05 and q[5] - 3 <= rt <= q[6] + 3)
+    want = [(i, min(met[i])[1:] if met[i] else ("fake_" + sample, None), not met[i], len(met[i])) for i, sample, *_ in s]
+    assert sorted(map(str, ((r.spectrum_id, (r.peak_id, r.peak_area), r.is_fake, r.n_candidates) for r in d.collect()))) == sorted(map(str, want))
+    assert "SortMergeJoin" in _plan(d) and "_rt" in _plan(d)
