@@ -40,12 +40,6 @@ def within(x: Column, low: Column, high: Column, tolerance: float) -> Column:
     return (x >= low - tolerance) & (x <= high + tolerance)
 
 
-def centres_meet(a: str, b: str, rt_tolerance: float) -> Column:
-    """One peak's centre lies in the other's interval; a and b are prefixes of rt_mean, rt_min, rt_max."""
-    c = lambda side, name: F.col(f"{side}.{name}")
-    return within(c(a, "rt_mean"), c(b, "rt_min"), c(b, "rt_max"), rt_tolerance) | within(c(b, "rt_mean"), c(a, "rt_min"), c(a, "rt_max"), rt_tolerance)
-
-
 def aligned(a: str, b: str, rt_tolerance: float) -> Column:
     """Centres within 4 tolerances, or bounds within 2."""
     c = lambda side, name: F.col(f"{side}.{name}")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ionloom.functions.scalars import aligned, centres_meet
+from ionloom.functions.scalars import aligned
 
 
 def range_join(left: DataFrame, right: DataFrame, left_value: Column, right_value: Column, tolerance: float, how: str = "inner", extra: Column | None = None, equal: list[str] | None = None) -> DataFrame:
@@ -51,12 +51,14 @@ def cells(low: Column, high: Column, width: float) -> Column:
     return F.when(b >= a, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
 
 
-def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket: float, extra: Column | None = None, equal: list[str] | None = None) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket: float | None = None, extra: Column | None = None, equal: list[str] | None = None) -> DataFrame:
     """Pairs of l and r (rt_mean, rt_min, rt_max) where one's centre lies in the other's interval, widened by the tolerance.
 
     Rows are told apart by their places, so each pair of rows comes once. Intervals are dealt to the buckets that they reach, centres to their own. A baseline, that reaches everything, only
-    gets the buckets that the other side's centres lie in.
+    gets the buckets that the other side's centres lie in. Without a given width, buckets are half as wide as most intervals.
+    Sides are sorted by bucket: what they are dealt to is larger than Spark's estimates, which would have it broadcast.
     """
+    bucket = bucket or median_width(left, "rt_min", "rt_max", rt_tolerance) / 2
 
     def inside(p: str, s: str) -> Column:
         centre = F.col(f"{p}.rt_mean")
@@ -65,9 +67,8 @@ def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket
     def centre_in(points: DataFrame, spans: DataFrame, p: str, s: str, unless: Column | None = None) -> DataFrame:
         bounds = points.agg(F.min("rt_mean").alias("_low"), F.max("rt_mean").alias("_high"))
         reach = spans.crossJoin(F.broadcast(bounds))
-        low = F.floor(F.greatest(F.col("rt_min") - rt_tolerance, F.col("_low")) / bucket)
-        high = F.floor(F.least(F.col("rt_max") + rt_tolerance, F.col("_high")) / bucket)
-        dealt = reach.withColumn("_cell", F.explode(F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>")))).drop("_low", "_high").alias(s)
+        low, high = F.greatest(F.col("rt_min") - rt_tolerance, F.col("_low")), F.least(F.col("rt_max") + rt_tolerance, F.col("_high"))
+        dealt = reach.withColumn("_cell", F.explode(cells(low, high, bucket))).drop("_low", "_high").alias(s)
         own = points.withColumn("_cell", F.floor(F.col("rt_mean") / bucket)).alias(p)
         on = (F.col(f"{p}._cell") == F.col(f"{s}._cell")) & inside(p, s)
         if unless is not None:
@@ -77,7 +78,7 @@ def interval_join(left: DataFrame, right: DataFrame, rt_tolerance: float, bucket
         if extra is not None:
             on = on & extra
         fields = lambda side, cols: F.struct(*[F.col(f"{side}.{c}") for c in cols]).alias(side)
-        return own.join(dealt, on).select(fields("l", left.columns), fields("r", right.columns))
+        return own.hint("merge").join(dealt, on).select(fields("l", left.columns), fields("r", right.columns))
 
     # a centre has one bucket, so a pair is met once each way; those met the first way are left out of the second
     return centre_in(left, right, "l", "r").unionByName(centre_in(right, left, "r", "l", inside("l", "r")))
@@ -125,10 +126,13 @@ def coelution_pairs(clusters: DataFrame, mz_tolerance: float, rt_tolerance: floa
     Refined: unless a is flagged as blank, their centres or their bounds must be aligned too.
     """
     own = clusters.select("id", "mz", "rt_mean", "rt_min", "rt_max", F.coalesce("bflag", F.lit(False)).alias("bflag"))
-    met = centres_meet("l", "r", rt_tolerance) & (F.col("l.id") < F.col("r.id"))
+    met = (F.col("l.id") < F.col("r.id")) & (F.abs(F.col("l.mz") - F.col("r.mz")) <= mz_tolerance)
     if refine:
         met = met & (F.col("l.bflag") | aligned("l", "r", rt_tolerance))
-    return range_join(own.alias("l"), own.alias("r"), F.col("l.mz"), F.col("r.mz"), mz_tolerance, extra=met).select(F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"))
+    # pairs meet in buckets of mass and time; the right side is in its own bucket of mass and both neighbours
+    bucket = F.floor(F.col("mz") / (mz_tolerance if mz_tolerance > 0 else 1.0))
+    left, right = own.withColumn("_mass", bucket), own.withColumn("_mass", F.explode(F.array(*[bucket + k for k in (-1, 0, 1)])))
+    return interval_join(left, right, rt_tolerance, extra=met, equal=["_mass"]).select(F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"))
 
 
 def shared_peak_ids(a: Column, b: Column, match: str = "exact") -> Column:

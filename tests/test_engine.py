@@ -266,3 +266,32 @@ def test_nearest_peak_is_that_of_all_pairs_and_peaks_are_not_broadcast(spark):
     want = [(i, min(met[i])[1:] if met[i] else ("fake_" + sample, None), not met[i], len(met[i])) for i, sample, *_ in s]
     assert sorted(map(str, ((r.spectrum_id, (r.peak_id, r.peak_area), r.is_fake, r.n_candidates) for r in d.collect()))) == sorted(map(str, want))
     assert "SortMergeJoin" in _plan(d) and "_rt" in _plan(d)
+
+
+def _meet(a, b, t):
+    return a["rt_min"] - t <= b["rt_mean"] <= a["rt_max"] + t or b["rt_min"] - t <= a["rt_mean"] <= b["rt_max"] + t
+
+
+def _aligned(a, b, t):
+    return abs(a["rt_mean"] - b["rt_mean"]) <= 4 * t or math.sqrt(((a["rt_min"] - b["rt_min"]) ** 2 + (a["rt_max"] - b["rt_max"]) ** 2) / 2) <= 2 * t
+
+
+def _clusters(n, seed):
+    rng = random.Random(seed)
+    own = [{"id": i, "mz": rng.randrange(12) / 4, "rt_mean": rng.randrange(120) / 2} for i in range(n)]
+    for c in own:
+        c |= {"rt_min": c["rt_mean"] - rng.choice([0, 3.5, 9, 40]), "rt_max": c["rt_mean"] + rng.choice([0, 2, 8, 1_000_000]), "bflag": rng.choice([None, False, False, True]), "blanks_total": rng.choice([0, 0, 0, 2]), "batches": rng.choice([None, [1], [2, 1], [3, None], [1, 2, 3], [2, 2, 4], [None]])}
+        c["peak_ids"] = rng.choice([None, ["fake_a"], ["fake_a", "a"], ["a", "b"], ["b", "c", "a"], ["c", "c"], ["d"], [None, "d", "b"]])
+    return own
+
+
+_CLUSTERS = "id long, mz double, rt_mean double, rt_min double, rt_max double, bflag boolean, blanks_total long, batches array<int>, peak_ids array<string>"
+
+
+@pytest.mark.parametrize("refine", [False, True])
+def test_coelution_pairs_meet_by_mass_and_time(spark, refine):
+    own = _clusters(150, 7)
+    found = joins.coelution_pairs(spark.createDataFrame(own, _CLUSTERS), 0.5, 2.0, refine)
+    want = [(a["id"], b["id"]) for a, b in itertools.combinations(own, 2) if abs(a["mz"] - b["mz"]) <= 0.5 and _meet(a, b, 2) and (not refine or a["bflag"] or _aligned(a, b, 2))]
+    assert sorted(map(tuple, found.collect())) == want
+    assert "_cell" in _plan(found) and "BroadcastHashJoin" not in _plan(found)
