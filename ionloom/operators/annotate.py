@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ionloom.functions.scalars import aligned, annotation_text
 from ionloom.operators.graph import cut
-from ionloom.operators.joins import interval_join, same_batch
+from ionloom.operators.joins import dealt, first_shared, interval_join
 from ionloom.schema import ISOTOPE_STEP, PROTON_ELECTRON
 
 # Fixed values.
@@ -19,21 +19,27 @@ FROM_HEAVIER = ("adduct", "dimer", "isotope")
 MOST_RULES = 5000
 
 
-def coeluting(clusters: DataFrame, rt_tolerance: float, bucket: float = 30.0) -> DataFrame:
+def coeluting(clusters: DataFrame, rt_tolerance: float, bucket: float | None = None) -> DataFrame:
     """l, r: pairs of clusters with l.id < r.id in one peak and one batch.
 
     clusters: id, mz, rt_mean, rt_min, rt_max, blanks_total, batches, ... Without any blank: centres meet and are aligned.
-    With blanks: a blank's interval doesn't count, only its centre, within 4 tolerances.
+    With blanks: a blank's interval doesn't count, only its centre, within 4 tolerances. Pairs meet by batch and time.
     """
-    ordered = (F.col("l.id") < F.col("r.id")) & same_batch(F.col("l.batches"), F.col("r.batches"))
+    ordered = (F.col("l.id") < F.col("r.id")) & first_shared("_batch")
+
+    def paired(rows: DataFrame, extra) -> DataFrame:
+        own = dealt(rows, F.col("batches"), "_batch")
+        met = interval_join(own, own, rt_tolerance, bucket, extra, ["_batch"])
+        return met.select(*[F.struct(*[F.col(f"{side}.{c}") for c in rows.columns]).alias(side) for side in ("l", "r")])
+
     any_blank = bool(clusters.where("blanks_total > 0").limit(1).count())
     if not any_blank:
-        return interval_join(clusters, clusters, rt_tolerance, bucket, ordered & aligned("l", "r", rt_tolerance))
+        return paired(clusters, ordered & aligned("l", "r", rt_tolerance))
     # a blank's interval is its centre, four tolerances wide, as long as the other side doesn't reach for it
     reach = clusters.withColumns({
         "_low": F.when(F.col("blanks_total") > 0, F.col("rt_mean") - 3 * rt_tolerance).otherwise(F.col("rt_min")), "_high": F.when(F.col("blanks_total") > 0, F.col("rt_mean") + 3 * rt_tolerance).otherwise(F.col("rt_max")),
     }).withColumnsRenamed({"rt_min": "own_min", "rt_max": "own_max"}).withColumnsRenamed({"_low": "rt_min", "_high": "rt_max"})
-    met = interval_join(reach, reach, rt_tolerance, bucket, ordered)
+    met = paired(reach, ordered)
     c = lambda side, name: F.col(f"{side}.{name}")
     straight = F.sqrt((F.pow(c("l", "own_min") - c("r", "own_min"), 2) + F.pow(c("l", "own_max") - c("r", "own_max"), 2)) / 2) <= 2 * rt_tolerance
     near = F.abs(c("l", "rt_mean") - c("r", "rt_mean")) <= 4 * rt_tolerance

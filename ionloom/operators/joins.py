@@ -143,6 +143,20 @@ def shared_peak_ids(a: Column, b: Column, match: str = "exact") -> Column:
     return F.exists(real(a), lambda p: F.exists(b, lambda q: q.contains(p)))
 
 
+def dealt(rows: DataFrame, values: Column, name: str) -> DataFrame:
+    """A row for each distinct value of a list: the value by `name`, and those before it by `name`_before (null at the first)."""
+    own = rows.withColumn(f"{name}_all", F.array_distinct(F.filter(values, lambda v: v.isNotNull())))
+    own = own.select("*", F.posexplode(f"{name}_all").alias(f"{name}_at", name))
+    before = F.when(F.col(f"{name}_at") > 0, F.slice(f"{name}_all", F.lit(1), F.col(f"{name}_at")))
+    return own.withColumn(f"{name}_before", before).drop(f"{name}_at")
+
+
+def first_shared(name: str) -> Column:
+    """l and r, dealt by their lists and joined by the value, meet at the first value of l's that r has too: so once."""
+    before = F.col(f"l.{name}_before")
+    return before.isNull() | ~F.arrays_overlap(before, F.col(f"r.{name}_all"))
+
+
 def header_lookup(members: DataFrame, headers: DataFrame) -> DataFrame:
     """Members with their spectra's header columns, by sample and scan."""
     return members.join(headers, ["sample", "scan"], "left")
@@ -153,10 +167,6 @@ def with_metadata(rows: DataFrame, metadata: DataFrame) -> DataFrame:
     return rows.join(metadata.withColumnRenamed("sample_code", "sample"), "sample", "left")
 
 
-def same_batch(batches_a: Column, batches_b: Column) -> Column:
-    return F.arrays_overlap(batches_a, batches_b)
-
-
 def first_of_each(rows: DataFrame, keys: list[str], order: list[Column | str], n: int = 1) -> DataFrame:
     """The first n rows of each key, by a full order."""
     place = Window.partitionBy(*keys).orderBy(*order)

@@ -295,3 +295,16 @@ def test_coelution_pairs_meet_by_mass_and_time(spark, refine):
     want = [(a["id"], b["id"]) for a, b in itertools.combinations(own, 2) if abs(a["mz"] - b["mz"]) <= 0.5 and _meet(a, b, 2) and (not refine or a["bflag"] or _aligned(a, b, 2))]
     assert sorted(map(tuple, found.collect())) == want
     assert "_cell" in _plan(found) and "BroadcastHashJoin" not in _plan(found)
+
+
+@pytest.mark.parametrize("blanks", [False, True])
+def test_coeluting_pairs_meet_by_batch_and_time(spark, blanks):
+    own = [c | {"blanks_total": c["blanks_total"] if blanks else 0} for c in _clusters(150, 8)]
+    found = annotate.coeluting(spark.createDataFrame(own, _CLUSTERS), 1.0)
+    seen = [c | {"own_min": c["rt_min"], "own_max": c["rt_max"]} | ({"rt_min": c["rt_mean"] - 3, "rt_max": c["rt_mean"] + 3} if c["blanks_total"] else {}) for c in own]
+    plain = lambda c: c | {"rt_min": c["own_min"], "rt_max": c["own_max"]}
+    shared = lambda a, b: bool({*(a["batches"] or ())} & {*(b["batches"] or ())} - {None})
+    want = [(a["id"], b["id"]) for a, b in itertools.combinations(seen, 2) if shared(a, b) and _meet(a, b, 1) and (a["blanks_total"] or b["blanks_total"] or _aligned(plain(a), plain(b), 1))]
+    assert sorted(map(tuple, found.select("l.id", "r.id").collect())) == want
+    assert "_batch" in _plan(found) and "BroadcastHashJoin" not in _plan(found)
+    assert not [c for c in found.schema["l"].dataType.names if c.startswith("_")]
