@@ -157,6 +157,13 @@ def first_shared(name: str) -> Column:
     return before.isNull() | ~F.arrays_overlap(before, F.col(f"r.{name}_all"))
 
 
+def peak_sharing_pairs(clusters: DataFrame, mz_tolerance: float) -> DataFrame:
+    """id_a < id_b of clusters (id, mz, peak_ids) of about one mass that share a real peak. Pairs are met by peak and mass."""
+    own = dealt(clusters.select("id", "mz", "peak_ids"), F.filter("peak_ids", lambda p: ~p.startswith("fake_")), "_peak").drop("peak_ids")
+    met = range_join(own.alias("l").hint("merge"), own.alias("r"), F.col("l.mz"), F.col("r.mz"), mz_tolerance, extra=(F.col("l.id") < F.col("r.id")) & first_shared("_peak"), equal=["_peak"])
+    return met.select(F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"))
+
+
 def header_lookup(members: DataFrame, headers: DataFrame) -> DataFrame:
     """Members with their spectra's header columns, by sample and scan."""
     return members.join(headers, ["sample", "scan"], "left")

@@ -174,9 +174,7 @@ def coelution_without_mass(spark, d):
 
 @query(f"WITH c AS ({CLUSTERS}) SELECT a.id AS id_a, b.id AS id_b FROM c a JOIN c b ON a.id < b.id AND abs(a.mz - b.mz) <= 0.1 AND EXISTS (SELECT 1 FROM (SELECT unnest(a.peak_ids) AS p) WHERE NOT starts_with(p, 'fake_') AND list_contains(b.peak_ids, p))")
 def shared_peak_ids(spark, d):
-    own = clusters(spark, d)
-    met = joins.range_join(own.alias("l"), own.alias("r"), F.col("l.mz"), F.col("r.mz"), 0.1, extra=(F.col("l.id") < F.col("r.id")) & joins.shared_peak_ids(F.col("l.peak_ids"), F.col("r.peak_ids")))
-    return met.select(F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"))
+    return joins.peak_sharing_pairs(clusters(spark, d), 0.1)
 
 
 @query(f"SELECT q.cluster_id, q.sample, n_spectra, batch, sample_type FROM ({_QUANT}) q LEFT JOIN ({METADATA}) m USING (sample)")

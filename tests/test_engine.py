@@ -308,3 +308,17 @@ def test_coeluting_pairs_meet_by_batch_and_time(spark, blanks):
     assert sorted(map(tuple, found.select("l.id", "r.id").collect())) == want
     assert "_batch" in _plan(found) and "BroadcastHashJoin" not in _plan(found)
     assert not [c for c in found.schema["l"].dataType.names if c.startswith("_")]
+
+
+def test_peak_sharing_pairs_meet_once_by_peak_and_mass(spark):
+    own = _clusters(150, 9)
+    found = joins.peak_sharing_pairs(spark.createDataFrame(own, _CLUSTERS), 0.25)
+    real = lambda c: {p for p in c["peak_ids"] or () if p and not p.startswith("fake_")}
+    assert sorted(map(tuple, found.collect())) == [(a["id"], b["id"]) for a, b in itertools.combinations(own, 2) if abs(a["mz"] - b["mz"]) <= 0.25 and real(a) & real(b)]
+    assert "BroadcastHashJoin" not in _plan(found)
+
+
+def test_shared_peak_ids_goes_by_peak(spark, small):
+    from ionloom.plans import catalog
+
+    assert "_peak" in _plan(catalog.shared_peak_ids(spark, small)) and "BroadcastHashJoin" not in _plan(catalog.shared_peak_ids(spark, small))
