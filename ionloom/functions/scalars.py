@@ -36,10 +36,6 @@ def rmse(a_min: Column, a_max: Column, b_min: Column, b_max: Column) -> Column:
     return F.sqrt((F.pow(a_min - b_min, 2) + F.pow(a_max - b_max, 2)) / 2)
 
 
-def within(x: Column, low: Column, high: Column, tolerance: float) -> Column:
-    return (x >= low - tolerance) & (x <= high + tolerance)
-
-
 def aligned(a: str, b: str, rt_tolerance: float) -> Column:
     """Centres within 4 tolerances, or bounds within 2."""
     c = lambda side, name: F.col(f"{side}.{name}")
