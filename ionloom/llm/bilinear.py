@@ -11,9 +11,9 @@ from __future__ import annotations
 import numpy as np
 
 WIDTH = 32
-#: Tokens of a training step; false groups drawn for the step, and false members drawn for each token.
-BATCH, FALSE_GROUPS, FALSE_MEMBERS = 1024, 24, 4
-RATE = 0.08
+#: Tokens of a training step; false groups drawn for the step, and false members drawn for each of its tokens' groups.
+BATCH, FALSE_GROUPS, FALSE_MEMBERS = 2048, 24, 16
+RATE = 0.12
 #: Tokens whose probabilities are computed at a time.
 SCORED = 1 << 13
 
@@ -94,18 +94,29 @@ class _Rows:
     def __init__(self, table: np.ndarray):
         self.table, self.seen = table, np.full(len(table), 1e-6, np.float32)
 
-    def move(self, place: np.ndarray, gradient: np.ndarray, rate: float) -> None:
-        order = np.argsort(place, kind="stable")
-        own = place[order]
-        first = np.flatnonzero(np.concatenate([[True], np.diff(own) != 0]))
-        rows, total = own[first], np.add.reduceat(gradient[order], first)
-        self.seen[rows] += (total * total).mean(1) if total.ndim > 1 else total * total
+    def move(self, rows: np.ndarray, total: np.ndarray, rate: float) -> None:
+        """Down the gradients of different rows."""
+        self.seen[rows] += np.einsum("nw,nw->n", total, total) / total.shape[1] if total.ndim > 1 else total * total
         step = rate / np.sqrt(self.seen[rows])
         self.table[rows] -= total * (step[:, None] if total.ndim > 1 else step)
 
 
+def run_starts(sorted_places: np.ndarray) -> np.ndarray:
+    """Where runs of equal places begin."""
+    fresh = np.ones(len(sorted_places), bool)
+    np.not_equal(sorted_places[1:], sorted_places[:-1], out=fresh[1:])
+    return np.flatnonzero(fresh)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
+
+
 class Trainer:
-    """Noise-contrastive estimation: each token's group against groups drawn by their frequency, and the token against members of its group drawn by theirs."""
+    """Noise-contrastive estimation: each token's group against groups drawn by their frequency, and the token against members of its group drawn by theirs.
+
+    Tokens of a step share what is drawn, those of one group its members. Tokens alike in all three symbols may come as one with their number.
+    """
 
     def __init__(self, model: LogBilinear, seed: int = 0, rate: float = RATE):
         self.model, self.rng, self.rate, self.seen = model, np.random.default_rng(seed), rate, 0
@@ -113,39 +124,81 @@ class Trainer:
         self.context, self.upper, self.upper_bias, self.target, self.bias = map(_Rows, (context, upper, upper_bias, target, bias))
         self.squares = [np.full(m.shape, 1e-6, np.float32) for m in (near, far)]
         self.log_groups = np.log(FALSE_GROUPS * model.group_share).astype(np.float32)
+        self.reached_groups = np.cumsum(model.group_share)
         share = np.diff(model.reach) / np.repeat(model.reach[model.high] - model.reach[model.low], model.high - model.low)
         self.log_members = np.log(FALSE_MEMBERS * share).astype(np.float32)
+        self.kind = np.min_scalar_type(len(model.position))  # of 16 bits, they are sorted by their digits
 
-    def step(self, two: np.ndarray, one: np.ndarray, symbol: np.ndarray) -> None:
+    def step(self, two: np.ndarray, one: np.ndarray, symbol: np.ndarray, times: np.ndarray | None = None) -> None:
         model, rng = self.model, self.rng
         context, near, far, upper, upper_bias, target, bias = model.parameters
         n = len(symbol)
-        self.seen += n
+        self.seen += n if times is None else int(times.sum())
         place = model.position[symbol]
+        order = np.argsort(place.astype(self.kind), kind="stable")
+        place, two, one = place[order], two[order], one[order]
+        weight = None if times is None else times[order].astype(np.float32)
         group = place // model.size
-        a, b = context[two], context[one]
-        q = a @ far + b @ near
-        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        false = rng.choice(len(model.low), FALSE_GROUPS, p=model.group_share)
-        hit = sigmoid((q * upper[group]).sum(1) + upper_bias[group] - self.log_groups[group]) - 1
-        miss = sigmoid(q @ upper[false].T + upper_bias[false] - self.log_groups[false])
-        bottom, top = model.reach[model.low[group]], model.reach[model.high[group]]
-        drawn = np.searchsorted(model.reach, bottom[:, None] + rng.random((n, FALSE_MEMBERS)) * (top - bottom)[:, None], "right") - 1
-        drawn = np.clip(drawn, model.low[group][:, None], model.high[group][:, None] - 1)
-        wrong = target[drawn]
-        hit_in = sigmoid((q * target[place]).sum(1) + bias[place] - self.log_members[place]) - 1
-        miss_in = sigmoid(np.einsum("nw,nkw->nk", q, wrong) + bias[drawn] - self.log_members[drawn])
-        g = hit[:, None] * upper[group] + miss @ upper[false] + hit_in[:, None] * target[place] + np.einsum("nk,nkw->nw", miss_in, wrong)
+        edge = run_starts(group)
+        own = group[edge]
+        size = np.diff(np.append(edge, n))
+        # each context symbol meets its matrix once
+        q, contexts = 0, []
+        for at, matrix in ((one, near), (two, far)):
+            by = np.argsort(at.astype(self.kind), kind="stable")
+            first = run_starts(at[by])
+            rows = at[by[first]]
+            of = np.empty(n, np.int64)
+            of[by] = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+            vectors = context[rows]
+            q = q + (vectors @ matrix).take(of, 0)
+            contexts.append((by, first, rows, vectors, matrix))
+        false = np.minimum(np.searchsorted(self.reached_groups, rng.random(FALSE_GROUPS)), len(model.low) - 1)
+        theirs = np.repeat(upper[own], size, axis=0)
+        hit = _sigmoid(np.einsum("nw,nw->n", q, theirs) + np.repeat(upper_bias[own] - self.log_groups[own], size)) - 1
+        miss = _sigmoid(q @ upper[false].T + (upper_bias[false] - self.log_groups[false]))
+        bottom, top = model.reach[model.low[own]], model.reach[model.high[own]]
+        drawn = np.searchsorted(model.reach, bottom[:, None] + rng.random((len(own), FALSE_MEMBERS)) * (top - bottom)[:, None], "right") - 1
+        drawn = np.clip(drawn, model.low[own][:, None], model.high[own][:, None] - 1)
+        wrong, right = target[drawn], target[place]
+        spans = list(zip(edge.tolist(), (edge + size).tolist(), strict=True))
+        miss_in = np.repeat(bias[drawn] - self.log_members[drawn], size, axis=0)
+        for k, (lo, hi) in enumerate(spans):
+            miss_in[lo:hi] += q[lo:hi] @ wrong[k].T
+        hit_in = _sigmoid(np.einsum("nw,nw->n", q, right) + (bias[place] - self.log_members[place])) - 1
+        miss_in = _sigmoid(miss_in)
+        if weight is not None:
+            hit, miss, hit_in, miss_in = hit * weight, miss * weight[:, None], hit_in * weight, miss_in * weight[:, None]
+        g = miss @ upper[false]
+        g += hit[:, None] * theirs
+        g += hit_in[:, None] * right
+        pushed = np.empty_like(wrong)
+        for k, (lo, hi) in enumerate(spans):
+            g[lo:hi] += miss_in[lo:hi] @ wrong[k]
+            np.matmul(miss_in[lo:hi].T, q[lo:hi], out=pushed[k])
         # all gradients are of the parameters as they were
-        moves = [
-            (self.context, np.concatenate([two, one]), np.concatenate([g @ far.T, g @ near.T])),
-            (self.upper, np.concatenate([group, false]), np.concatenate([hit[:, None] * q, miss.T @ q])),
-            (self.upper_bias, np.concatenate([group, false]), np.concatenate([hit, miss.sum(0)])),
-            (self.target, np.concatenate([place, drawn.ravel()]), np.concatenate([hit_in[:, None] * q, (miss_in[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])])),
-            (self.bias, np.concatenate([place, drawn.ravel()]), np.concatenate([hit_in, miss_in.ravel()])),
-        ]
-        for matrix, square, gradient in ((near, self.squares[0], b.T @ g), (far, self.squares[1], a.T @ g)):
+        moves = []
+        for square, (by, first, rows, vectors, matrix) in zip(self.squares, contexts, strict=True):
+            total = np.add.reduceat(g[by], first, axis=0)
+            moves.append((self.context, rows, total @ matrix.T))
+            gradient = vectors.T @ total
             square += gradient * gradient
             matrix -= self.rate * 0.1 * gradient / np.sqrt(square)
-        for table, rows, gradient in moves:
-            table.move(rows, gradient.astype(np.float32), self.rate)
+        pulled, mine = np.zeros_like(upper), np.zeros_like(upper_bias)
+        pulled[own], mine[own] = np.add.reduceat(hit[:, None] * q, edge, axis=0), np.add.reduceat(hit, edge)
+        np.add.at(pulled, false, miss.T @ q)
+        np.add.at(mine, false, miss.sum(0))
+        some = np.union1d(own, false)
+        moves += [(self.upper, some, pulled[some]), (self.upper_bias, some, mine[some])]
+        first = run_starts(place)
+        rows = np.concatenate([place[first], drawn.ravel()])
+        by = np.argsort(rows.astype(self.kind), kind="stable")
+        edge = run_starts(rows[by])
+        summed = lambda x, y: np.add.reduceat(np.concatenate([np.add.reduceat(x, first, axis=0), y])[by], edge, axis=0)
+        rows = rows[by[edge]]
+        moves += [
+            (self.target, rows, summed(hit_in[:, None] * q, pushed.reshape(-1, q.shape[1]))),
+            (self.bias, rows, summed(hit_in, np.add.reduceat(miss_in, run_starts(group), axis=0).ravel())),
+        ]
+        for table, rows, total in moves:
+            table.move(rows, total, self.rate)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ionloom.llm.bilinear import BATCH, LogBilinear, Trainer
+from ionloom.llm.bilinear import BATCH, LogBilinear, Trainer, run_starts
 from ionloom.llm.hashing import mixed, word_hashes
 from ionloom.llm.shared import crc_mod, kept, record_batch, small_batches, text_slices
 
@@ -28,9 +28,13 @@ FOLDS, HELD_OUT = 7, 2
 #: Words of their own: the square root of the training tokens, within these bounds. Endings that others share.
 FEWEST_OWN, MOST_OWN, ENDINGS = 64, 32_768, 63
 #: Words whose counts a Python worker looks up in memory; the counts of all others are joined.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 #: Pairs of words whose counts a Python worker looks up in memory; the counts of all others are joined.
-KNOWN_PAIRS = 200_000
+KNOWN_PAIRS = 1_000_000
+#: Training tokens for each bucket in which pairs of words are counted and looked up, and for each in which texts add up what was found.
+PAIR_TOKENS, TEXT_TOKENS = 1 << 18, 1 << 22
+#: Tokens whose pairs a task sends to the buckets at once.
+SENT_TOKENS = 1 << 20
 #: How often a pair must come for its count to be used; bits of the map of such pairs.
 LEAST_PAIR, MAP_BITS = 2, 1 << 27
 #: Distinct words that a worker counts before it sends them on.
@@ -256,28 +260,97 @@ def hashes_of(words: list[bytes]) -> np.ndarray:
     return out
 
 
-def pair_counts(docs: DataFrame, words: list[bytes], least: int = LEAST_PAIR) -> DataFrame:
+def parcels(schema: pa.Schema, buckets: int, by: np.ndarray, **values: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket that the hashes `by` have, with the bytes of its values: rows of Spark cost more than numbers."""
+    bucket = ((by.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    first = run_starts(bucket[order])
+    edges = np.append(first, len(by))
+
+    def cut(x: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((edges * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x[order]))])
+
+    full = {"bucket": pa.array(bucket[order[first]], pa.int32())} | {k: cut(x) for k, x in values.items()}
+    return pa.RecordBatch.from_arrays([full[f.name] if f.name in full else pa.nulls(len(first), f.type) for f in schema], schema=schema)
+
+
+def unpacked(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def pair_counts(docs: DataFrame, words: list[bytes], buckets: int, least: int = LEAST_PAIR) -> DataFrame:
     """key, before, c: how often each pair of neighbouring words comes in docs, `least` times or more, after one of words (at place `before`)."""
-    schema = pa.schema([("key", pa.int64()), ("before", pa.int32()), ("c", pa.int64())])
+    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("before", pa.binary()), ("c", pa.binary())])
     known = hashes_of(words)
     order = np.argsort(known)
-    sent = docs.sparkSession.sparkContext.broadcast((known[order], order))
+    sent = docs.sparkSession.sparkContext.broadcast((known[order], order.astype(np.int32)))
 
-    def run(batches):
+    def counted(held: list[tuple]) -> pa.RecordBatch:
         sorted_hashes, places = sent.value
-        if not len(places):
+        key, before = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, first, c = np.unique(key, return_index=True, return_counts=True)
+        before = before[first]
+        at = np.searchsorted(sorted_hashes, before).clip(max=len(places) - 1)
+        found = sorted_hashes[at] == before
+        return parcels(schema, buckets, key[found], key=key[found], before=places[at[found]], c=c[found].astype(np.int32))
+
+    def run(batches):
+        if not len(sent.value[1]):
             return
+        held, size = [], 0
         for batch in batches:
             for _, _, items in text_slices(batch.column("text"), SCORED_BYTES):
-                key, before = pairs_of(items)
-                key, first, c = np.unique(key, return_index=True, return_counts=True)
-                before = before[first]
-                at = np.searchsorted(sorted_hashes, before).clip(max=len(places) - 1)
-                found = sorted_hashes[at] == before
-                yield record_batch(schema, key=key[found], before=places[at[found]].astype(np.int32), c=c[found])
+                held.append(pairs_of(items))
+                size += len(held[-1][0])
+                if size >= SENT_TOKENS:
+                    yield counted(held)
+                    held, size = [], 0
+        if size:
+            yield counted(held)
+
+    def added(table: pa.Table) -> pa.Table:
+        key, before, c = unpacked(table["key"], np.int64), unpacked(table["before"], np.int32), unpacked(table["c"], np.int32)
+        order = np.argsort(key)
+        first = run_starts(key[order])
+        total = np.add.reduceat(c[order].astype(np.int64), first)
+        some = order[first[total >= least]]
+        return pa.table({"key": key[some], "before": before[some], "c": total[total >= least]})
 
-    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, before int, c long")
-    return found.groupBy("key").agg(F.first("before").alias("before"), F.sum("c").alias("c")).where(F.col("c") >= least)
+    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "bucket int, key binary, before binary, c binary")
+    return found.groupBy("bucket").applyInArrow(added, "key long, before int, c long")
+
+
+def found_in(pairs: DataFrame, lookups: DataFrame, buckets: int, text_buckets: int) -> DataFrame:
+    """row, more: what the counts of pairs add to the logarithms of rows. lookups has bucket, key, x, row: hashes of pairs, the model's logarithm with its weight, rows."""
+    schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("c", pa.binary())])
+    summed = pa.schema([("bucket", pa.int32()), ("row", pa.binary()), ("more", pa.binary())])
+
+    def dealt(batches):
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            yield parcels(schema, buckets, key, key=key, c=batch.column("c").to_numpy())
+
+    def looked_up(held: pa.Table, asked: pa.Table) -> pa.Table:
+        key, x, row = unpacked(asked["key"], np.int64), unpacked(asked["x"], np.float32), unpacked(asked["row"], np.int64)
+        keys, c = unpacked(held["key"], np.int64), unpacked(held["c"], np.int64)
+        order = np.argsort(keys)
+        near = order[np.searchsorted(keys, key, sorter=order).clip(max=max(0, len(keys) - 1))] if len(keys) else np.zeros(len(key), np.int64)
+        some = np.flatnonzero(keys[near] == key) if len(keys) else near[:0]
+        more, row = np.log10(1 + c[near[some]] * 10.0 ** -x[some].astype(np.float64)), row[some]
+        order = np.argsort(row, kind="stable")
+        first = run_starts(row[order])
+        row, more = row[order[first]], np.add.reduceat(more[order], first) if len(first) else more
+        return pa.Table.from_batches([parcels(summed, text_buckets, mixed(row.view(np.uint64)), row=row, more=more)])
+
+    def added(table: pa.Table) -> pa.Table:
+        row, more = unpacked(table["row"], np.int64), unpacked(table["more"], np.float64)
+        order = np.argsort(row, kind="stable")
+        first = run_starts(row[order])
+        return pa.table({"row": row[order[first]], "more": np.add.reduceat(more[order], first)})
+
+    held = pairs.select("key", "c").mapInArrow(dealt, "bucket int, key binary, c binary")
+    found = held.groupBy("bucket").cogroup(lookups.groupBy("bucket")).applyInArrow(looked_up, "bucket int, row binary, more binary")
+    return found.groupBy("bucket").applyInArrow(added, "row long, more double")
 
 
 def map_of(pairs: DataFrame, bits: int = MAP_BITS) -> np.ndarray:
@@ -322,7 +395,8 @@ def score(docs: DataFrame) -> DataFrame:
     end = len(single)
     base_whole = np.log10(n + v + 1)
     shared_whole = np.log10(np.maximum(1, in_symbol + kinds + 1))
-    pairs = kept(pair_counts(training(own), words), "lm-pairs")
+    buckets, text_buckets = 1 + n // PAIR_TOKENS, 1 + n // TEXT_TOKENS
+    pairs = kept(pair_counts(training(own), words, buckets), "lm-pairs")
     # the model's probability stands for as many tokens as the word before has different followers, besides those counted
     weight, total = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     followers = pairs.groupBy("before").agg(F.count("*").alias("n"), F.sum("c").alias("c")).toArrow()
@@ -333,13 +407,18 @@ def score(docs: DataFrame) -> DataFrame:
     bitmap = map_of(pairs)
     often = commonest(pairs.select("key", "c"), KNOWN_PAIRS)
     often = often.toArrow().sort_by("key") if often is not None else pa.table({"key": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
-    sent = own.sparkSession.sparkContext.broadcast((words, counts, single, endings, in_symbol, model.vector, weight, total, bitmap, often.column("key").to_numpy(), often.column("c").to_numpy()))
+    symbols = Symbols(single, endings)
+    of_word = np.array([symbols.own[w] if w in symbols.own else end if not w else symbols.by_ending(w) for w in words] + [0], np.int32)
+    sent = own.sparkSession.sparkContext.broadcast((words, counts, single, endings, of_word, in_symbol, model.vector, weight, total, bitmap, often.column("key").to_numpy(), often.column("c").to_numpy()))
     rare_type = pa.struct([("word", pa.binary()), ("symbol", pa.int32()), ("key", pa.int64()), ("x", pa.float32())])  # key: null where none can be found
-    pair_type = pa.struct([("key", pa.int64()), ("x", pa.float32())])
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("rare", pa.list_(rare_type)), ("pairs", pa.list_(pair_type))])
+    asked = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("x", pa.binary()), ("asking", pa.binary())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("rare", pa.list_(rare_type)), *asked])
+    columns = "row long, doc_id long, n_tokens long, n_known long, base double, model double, rare array<struct<word:binary,symbol:int,key:long,x:float>>, bucket int, key binary, x binary, asking binary"
 
     def run(batches):
-        known_words, known_counts, mine, theirs, times, vector, weights, followed, held, pair_keys, pair_times = sent.value
+        from pyspark import TaskContext
+
+        known_words, known_counts, mine, theirs, of_word, times, vector, weights, followed, held, pair_keys, pair_times = sent.value
         neural = LogBilinear(times).load(vector)
         neural.ready()
         # of what follows a word, counted tokens and the model's share in the place of weight tokens
@@ -347,11 +426,10 @@ def score(docs: DataFrame) -> DataFrame:
         log_weight, whole = np.log10(np.where(counted, weights, 1.0)), np.log10(np.where(counted, followed + weights, 1.0))
         place = {w: k for k, w in enumerate(known_words)}
         symbols = Symbols(mine, theirs)
-        lone = np.array([w in symbols.own or not w for w in known_words], bool)
-        of_word = np.array([symbols.own[w] if w in symbols.own else end if not w else symbols.by_ending(w) for w in known_words], np.int64)
         base = np.append(np.log10(known_counts + 1.0) - base_whole, 0.0)
-        within = np.append(np.where(lone, 0.0, np.log10(known_counts + 1.0) - shared_whole[of_word]), 0.0) if len(of_word) else np.zeros(1)
-        of_word = np.append(of_word, 0)
+        within = np.append(np.where(of_word[:-1] <= end, 0.0, np.log10(known_counts + 1.0) - shared_whole[of_word[:-1]]), 0.0)
+        row = TaskContext.get().partitionId() << 33
+        waiting: list[tuple] = []
         for batch in batches:
             keys = batch.column("doc_id")
             for lo, hi, items in text_slices(batch.column("text"), SCORED_BYTES):
@@ -376,32 +454,48 @@ def score(docs: DataFrame) -> DataFrame:
                 look = (times == 0) & counted[before] & may_hold(held, key)
                 joined = np.flatnonzero(look & (at >= 0))
                 total = out + np.log10(1 + times * 10.0**-out) - whole[before]
-                edges = np.append(starts, len(key))
+                edges, rows = np.append(starts, len(key)), row + np.arange(len(items))
+                row += len(items)
                 rare = pa.StructArray.from_arrays([pa.array([flat[i] for i in unknown.tolist()], pa.binary()), pa.array(symbol[unknown].astype(np.int32)), pa.array(key[unknown], mask=~look[unknown]), pa.array(out[unknown].astype(np.float32))], fields=list(rare_type))
-                pair = pa.StructArray.from_arrays([pa.array(key[joined]), pa.array(out[joined].astype(np.float32))], fields=list(pair_type))
-                listed = lambda places, values: pa.ListArray.from_arrays(pa.array(np.searchsorted(places, edges).astype(np.int32)), values)  # noqa: B023, E731
+                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(unknown, edges).astype(np.int32)), rare)
                 yield pa.RecordBatch.from_arrays([
-                    keys.slice(lo, hi - lo), pa.array(size), pa.array(np.add.reduceat((at >= 0).astype(np.int64), starts)), pa.array(np.add.reduceat(base[at], starts)),
-                    pa.array(np.add.reduceat(total, starts)), listed(unknown, rare), listed(joined, pair),
+                    pa.array(rows), keys.slice(lo, hi - lo), pa.array(size), pa.array(np.add.reduceat((at >= 0).astype(np.int64), starts)), pa.array(np.add.reduceat(base[at], starts)),
+                    pa.array(np.add.reduceat(total, starts)), rare, *(pa.nulls(len(items), f.type) for f in asked),
                 ], schema=schema)
+                waiting.append((key[joined], out[joined].astype(np.float32), np.repeat(rows, size)[joined]))
+                if sum(len(x) for x, _, _ in waiting) >= SENT_TOKENS:
+                    yield sent_on(waiting)
+                    waiting = []
+        if waiting:
+            yield sent_on(waiting)
+
+    def sent_on(waiting, into=schema):
+        key, x, row = (np.concatenate(y) for y in zip(*waiting, strict=True))
+        return parcels(into, buckets, key, key=key, x=x, asking=row)
+
+    def ask(batches):
+        for batch in batches:
+            yield sent_on([tuple(batch.column(c).to_numpy() for c in ("key", "x", "row"))], asked)
 
-    partial = own.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base double, model double, rare array<struct<word:binary,symbol:int,key:long,x:float>>, pairs array<struct<key:long,x:float>>")
-    partial = kept(partial.withColumn("row", F.monotonically_increasing_id()), "lm-partial")
+    partial = kept(own.mapInArrow(run, columns), "lm-partial")
+    by_text = partial.where("bucket is null").drop("bucket", "key", "x", "asking")
     # words that no worker keeps in memory get their counts by a join; unseen ones have none
     shared = F.element_at(F.array(*[F.lit(float(x)) for x in shared_whole[end + 1 :]]), F.greatest(F.lit(1), F.col("symbol") - end))
     c = F.coalesce(F.col("c"), F.lit(0))
     within_rare = F.when(F.col("symbol") <= end, F.lit(0.0)).otherwise(F.log10(c + 1.0) - shared)
-    rare = partial.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(vocabulary.hint("merge"), "word", "left").select(
+    rare = by_text.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(vocabulary.hint("merge"), "word", "left").select(
         "row", "key", (F.col("x") + within_rare).alias("x"), (c > 0).cast("int").alias("known"), (F.log10(c + 1.0) - F.lit(float(base_whole))).alias("base"),
         within_rare.alias("model"),
     )
-    other = partial.select("row", F.explode("pairs").alias("r")).select("row", "r.key", F.col("r.x").cast("double").alias("x"), F.lit(0).alias("known"), F.lit(0.0).alias("base"), F.lit(0.0).alias("model"))
+    rare = kept(rare, "lm-rare")
     # so do pairs of words, where the map doesn't rule them out
-    after = F.coalesce(F.col("together"), F.lit(0))
-    more = F.when(after > 0, F.log10(1.0 + after * F.pow(F.lit(10.0), -F.col("x")))).otherwise(F.lit(0.0))
-    looked_up = rare.where("key is not null").unionAll(other).join(pairs.select("key", F.col("c").alias("together")).hint("merge"), "key", "left").select("row", "known", "base", (F.col("model") + more).alias("model"))
-    joined = looked_up.unionAll(rare.where("key is null").select("row", "known", "base", "model")).groupBy("row").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model"))
-    out = partial.drop("rare", "pairs").join(joined, "row", "left")
+    asking = partial.where("bucket is not null").select("bucket", "key", "x", "asking").unionAll(
+        rare.where("key is not null").select("key", F.col("x").cast("float"), "row").mapInArrow(ask, "bucket int, key binary, x binary, asking binary")
+    )
+    more = found_in(pairs, asking.withColumnRenamed("asking", "row"), buckets, text_buckets)
+    joined = rare.select("row", "known", "base", "model").unionAll(more.select("row", F.lit(0).alias("known"), F.lit(0.0).alias("base"), F.col("more").alias("model")))
+    joined = joined.groupBy("row").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model"))
+    out = by_text.drop("rare").join(joined, "row", "left")
     zero = lambda name, x: F.coalesce(F.col(name), F.lit(x))
     return out.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", (F.col("n_known") + zero("more_known", 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
