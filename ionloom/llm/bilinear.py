@@ -12,7 +12,9 @@ import numpy as np
 
 WIDTH = 32
 #: Tokens of a training step; false groups drawn for the step, and false members drawn for each of its tokens' groups.
-BATCH, FALSE_GROUPS, FALSE_MEMBERS = 2048, 24, 16
+BATCH, FALSE_GROUPS, FALSE_MEMBERS = 1024, 24, 16
+#: Groups of at most so many tokens in a step are multiplied together.
+FEW = 8
 RATE = 0.12
 #: Tokens whose probabilities are computed at a time.
 SCORED = 1 << 13
@@ -115,7 +117,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation: each token's group against groups drawn by their frequency, and the token against members of its group drawn by theirs.
 
-    Tokens of a step share what is drawn, those of one group its members. Tokens alike in all three symbols may come as one with their number.
+    Tokens of a step share what is drawn, those of one group its members.
     """
 
     def __init__(self, model: LogBilinear, seed: int = 0, rate: float = RATE):
@@ -129,15 +131,14 @@ class Trainer:
         self.log_members = np.log(FALSE_MEMBERS * share).astype(np.float32)
         self.kind = np.min_scalar_type(len(model.position))  # of 16 bits, they are sorted by their digits
 
-    def step(self, two: np.ndarray, one: np.ndarray, symbol: np.ndarray, times: np.ndarray | None = None) -> None:
+    def step(self, two: np.ndarray, one: np.ndarray, symbol: np.ndarray) -> None:
         model, rng = self.model, self.rng
         context, near, far, upper, upper_bias, target, bias = model.parameters
         n = len(symbol)
-        self.seen += n if times is None else int(times.sum())
+        self.seen += n
         place = model.position[symbol]
         order = np.argsort(place.astype(self.kind), kind="stable")
         place, two, one = place[order], two[order], one[order]
-        weight = None if times is None else times[order].astype(np.float32)
         group = place // model.size
         edge = run_starts(group)
         own = group[edge]
@@ -158,24 +159,32 @@ class Trainer:
         hit = _sigmoid(np.einsum("nw,nw->n", q, theirs) + np.repeat(upper_bias[own] - self.log_groups[own], size)) - 1
         miss = _sigmoid(q @ upper[false].T + (upper_bias[false] - self.log_groups[false]))
         bottom, top = model.reach[model.low[own]], model.reach[model.high[own]]
-        drawn = np.searchsorted(model.reach, bottom[:, None] + rng.random((len(own), FALSE_MEMBERS)) * (top - bottom)[:, None], "right") - 1
+        drawn = np.searchsorted(model.reach, bottom[:, None] + np.sort(rng.random((len(own), FALSE_MEMBERS)), axis=1) * (top - bottom)[:, None], "right") - 1
         drawn = np.clip(drawn, model.low[own][:, None], model.high[own][:, None] - 1)
         wrong, right = target[drawn], target[place]
-        spans = list(zip(edge.tolist(), (edge + size).tolist(), strict=True))
+        many, few = np.flatnonzero(size > FEW).tolist(), np.flatnonzero(size <= FEW)
+        spans = [(k, int(edge[k]), int(edge[k] + size[k])) for k in many]
+        there = np.arange(FEW) < size[few][:, None]
+        padded = np.where(there, edge[few][:, None] + np.arange(FEW), 0)
+        inside, q_few, wrong_few = padded[there], q[padded], wrong[few]
         miss_in = np.repeat(bias[drawn] - self.log_members[drawn], size, axis=0)
-        for k, (lo, hi) in enumerate(spans):
+        miss_in[inside] += (q_few @ wrong_few.transpose(0, 2, 1))[there]
+        for k, lo, hi in spans:
             miss_in[lo:hi] += q[lo:hi] @ wrong[k].T
         hit_in = _sigmoid(np.einsum("nw,nw->n", q, right) + (bias[place] - self.log_members[place])) - 1
         miss_in = _sigmoid(miss_in)
-        if weight is not None:
-            hit, miss, hit_in, miss_in = hit * weight, miss * weight[:, None], hit_in * weight, miss_in * weight[:, None]
         g = miss @ upper[false]
         g += hit[:, None] * theirs
         g += hit_in[:, None] * right
-        pushed = np.empty_like(wrong)
-        for k, (lo, hi) in enumerate(spans):
+        # what a group's tokens add to its members, in turn, and to itself
+        each, pushed = np.hstack([miss_in, hit[:, None]]), np.empty((len(own), FALSE_MEMBERS + 1, q.shape[1]), np.float32)
+        each_few = each[padded] * there[:, :, None]
+        g[inside] += (each_few[:, :, :-1] @ wrong_few)[there]
+        pushed[few] = each_few.transpose(0, 2, 1) @ q_few
+        for k, lo, hi in spans:
             g[lo:hi] += miss_in[lo:hi] @ wrong[k]
-            np.matmul(miss_in[lo:hi].T, q[lo:hi], out=pushed[k])
+            np.matmul(each[lo:hi].T, q[lo:hi], out=pushed[k])
+        alone = np.add.reduceat(each, edge, axis=0)
         # all gradients are of the parameters as they were
         moves = []
         for square, (by, first, rows, vectors, matrix) in zip(self.squares, contexts, strict=True):
@@ -185,20 +194,13 @@ class Trainer:
             square += gradient * gradient
             matrix -= self.rate * 0.1 * gradient / np.sqrt(square)
         pulled, mine = np.zeros_like(upper), np.zeros_like(upper_bias)
-        pulled[own], mine[own] = np.add.reduceat(hit[:, None] * q, edge, axis=0), np.add.reduceat(hit, edge)
+        pulled[own], mine[own] = pushed[:, -1], alone[:, -1]
         np.add.at(pulled, false, miss.T @ q)
         np.add.at(mine, false, miss.sum(0))
         some = np.union1d(own, false)
         moves += [(self.upper, some, pulled[some]), (self.upper_bias, some, mine[some])]
-        first = run_starts(place)
-        rows = np.concatenate([place[first], drawn.ravel()])
-        by = np.argsort(rows.astype(self.kind), kind="stable")
-        edge = run_starts(rows[by])
-        summed = lambda x, y: np.add.reduceat(np.concatenate([np.add.reduceat(x, first, axis=0), y])[by], edge, axis=0)
-        rows = rows[by[edge]]
-        moves += [
-            (self.target, rows, summed(hit_in[:, None] * q, pushed.reshape(-1, q.shape[1]))),
-            (self.bias, rows, summed(hit_in, np.add.reduceat(miss_in, run_starts(group), axis=0).ravel())),
-        ]
+        for at, vectors, numbers in ((place, hit_in[:, None] * q, hit_in), (drawn.ravel(), pushed[:, :-1].reshape(-1, q.shape[1]), alone[:, :-1].ravel())):
+            first = run_starts(at)
+            moves += [(self.target, at[first], np.add.reduceat(vectors, first, axis=0)), (self.bias, at[first], np.add.reduceat(numbers, first))]
         for table, rows, total in moves:
             table.move(rows, total, self.rate)

@@ -53,12 +53,17 @@ def word_edges(buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 def word_hashes(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in turn, and the first word of each text (one more than texts)."""
-    buffer, starts = flat(items)
+    hashes, _, _, first = hashed_words(*flat(items))
+    return hashes, first
+
+
+def hashed_words(buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in turn, and their edges as word_edges has them."""
     begin, end, first = word_edges(buffer, starts)
     total = np.zeros(len(buffer) + 1, np.uint64)
     np.cumsum((buffer.astype(np.uint64) + _ONE) * _powers(_P, len(buffer)), out=total[1:])
     inverse = _powers(_P_INVERSE, len(buffer) + 1)
-    return mixed((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64)), first
+    return mixed((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64)), begin, end, first
 
 
 def shingle_hashes(items: list[bytes], width: int = SHINGLE, below: int = 1 << 64, distinct: bool = True) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ share; one place there is for words never seen. So the probabilities of a token
 What follows each of the known words is counted as well, over all training texts; followers seen once are left to the
 model. The counts of a word's followers are joined with the model's probability, which weighs as many tokens as the word
 has different followers (Witten and Bell), and as those left out, so the sum stays one. This table grows with the
-corpus; it is joined, never collected. A bitmap of fixed size tells most tokens that their pair isn't in it.
+corpus; it is joined, never collected: hashes of pairs and what belongs to them go to buckets as packed numbers. A bitmap of fixed size tells most tokens that their pair isn't in it.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ionloom.llm.bilinear import BATCH, LogBilinear, Trainer, run_starts
-from ionloom.llm.hashing import mixed, word_hashes
-from ionloom.llm.shared import crc_mod, kept, record_batch, small_batches, text_slices
+from ionloom.llm.hashing import hashed_words, mixed, word_hashes
+from ionloom.llm.shared import crc_mod, flat, kept, record_batch, small_batches, swept, text_slices
 
 FOLDS, HELD_OUT = 7, 2
 #: Words of their own: the square root of the training tokens, within these bounds. Endings that others share.
@@ -34,7 +34,7 @@ KNOWN_PAIRS = 1_000_000
 #: Training tokens for each bucket in which pairs of words are counted and looked up, and for each in which texts add up what was found.
 PAIR_TOKENS, TEXT_TOKENS = 1 << 18, 1 << 22
 #: Tokens whose pairs a task sends to the buckets at once.
-SENT_TOKENS = 1 << 20
+SENT_TOKENS = 1 << 19
 #: How often a pair must come for its count to be used; bits of the map of such pairs.
 LEAST_PAIR, MAP_BITS = 2, 1 << 27
 #: Distinct words that a worker counts before it sends them on.
@@ -67,6 +67,56 @@ class Symbols(dict):
         found = self[word] = self.by_ending(word)
         return found
 
+    def by_code(self) -> np.ndarray:
+        """What Texts.codes() leads to."""
+        out = np.full((1 << 16) + 256, self.size - 1, np.int32)
+        for e, symbol in self.endings.items():
+            out[e[-2] << 8 | e[-1] if len(e) > 1 else 1 << 16 | e[-1]] = symbol
+        return out
+
+
+class Texts:
+    """Tokens of texts without a Python step for each: their hashes, an end after each text, and where texts begin."""
+
+    def __init__(self, items: list[bytes]):
+        self.bytes, edges = flat([x.lower() for x in items])
+        hashes, self.begin, self.end, first = hashed_words(self.bytes, edges)
+        self.size = np.diff(first) + 1
+        self.starts = np.cumsum(self.size) - self.size
+        self.is_word = np.ones(int(self.size.sum()), bool)
+        self.is_word[self.starts + self.size - 1] = False
+        self.hash = np.full(len(self.is_word), _END_HASH, np.uint64)
+        self.hash[self.is_word] = hashes
+
+    def codes(self) -> np.ndarray:
+        """Numbers for the last two bytes of words."""
+        last = self.bytes[self.end - 1].astype(np.int32)
+        return np.where(self.end - self.begin > 1, self.bytes[self.end - 2].astype(np.int32) << 8 | last, 1 << 16 | last)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each token a 64-bit key of it and the word before it, and the hash of that word; before a text there is an end."""
+        before = np.roll(self.hash, 1)
+        before[self.starts] = _END_HASH
+        return mixed(before * _ODD + self.hash).view(np.int64), before
+
+
+class Places:
+    """Where hashes stand in an array of different ones."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.place = np.argsort(hashes).astype(np.int32)
+        self.hashes = hashes[self.place]
+
+    def of(self, asked: np.ndarray) -> np.ndarray:
+        """The place of each; -1 for others. In their order the memory is read in its own."""
+        out = np.full(len(asked), -1, np.int32)
+        if len(self.hashes):
+            order = np.argsort(asked)
+            near = np.searchsorted(self.hashes, asked[order]).clip(max=len(self.hashes) - 1)
+            found = self.hashes[near] == asked[order]
+            out[order[found]] = self.place[near[found]]
+        return out
+
 
 def tokens(raw: bytes) -> list[bytes]:
     """Words; letters A to Z in lower case. The end that follows them isn't among them."""
@@ -152,17 +202,6 @@ def symbol_totals(vocabulary: DataFrame, own: list[bytes], endings: list[bytes])
     return n, v
 
 
-def symbols_of(items: list[list[bytes]], symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all texts in turn, an end after each, and where each text's begin."""
-    n = np.array([len(x) + 1 for x in items], np.int64)
-    starts = np.cumsum(n) - n
-    out = np.full(int(n.sum()), symbols.end, np.int64)
-    inside = np.ones(len(out), bool)
-    inside[starts + n - 1] = False
-    out[inside] = [symbols[w] for x in items for w in x]
-    return out, starts
-
-
 def contexts_of(symbol: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """For each token the symbol two before it and the one before it; before a text there are ends."""
     one, two = np.roll(symbol, 1), np.roll(symbol, 2)
@@ -182,6 +221,7 @@ def trained(docs: DataFrame, own: list[bytes], endings: list[bytes], counts: np.
         return model
     text = docs.select(F.col("text").cast("string"))
     n_tasks = docs.rdd.getNumPartitions()
+    symbols, places = Symbols(own, endings), Places(hashes_of(own))
 
     def added(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in table.column("sum"))
@@ -189,21 +229,24 @@ def trained(docs: DataFrame, own: list[bytes], endings: list[bytes], counts: np.
         return pa.table({"part": first.column("part"), "node": first.column("node"), "weight": pa.array([sum(table.column("weight").to_pylist())]), "sum": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     for turn in range(passes):
-        sent = docs.sparkSession.sparkContext.broadcast((own, endings, counts, model.vector))
+        sent = docs.sparkSession.sparkContext.broadcast((places, symbols.by_code(), symbols.end, counts, model.vector))
 
         def run(batches, sent=sent, turn=turn):
             from pyspark import TaskContext
 
-            words, some, times, vector = sent.value
+            known, by_code, end, times, vector = sent.value
             node = TaskContext.get().partitionId()
-            symbols, local = Symbols(words, some), LogBilinear(times).load(vector)
+            local = LogBilinear(times).load(vector)
             trainer = Trainer(local, seed=turn * 1_000_003 + node)
             held: list[tuple] = []
             size = 0
             for batch in batches:
                 for _, _, items in text_slices(batch.column("text"), SCORED_BYTES):
-                    s, starts = symbols_of([tokens(x) for x in items], symbols)
-                    two, one = contexts_of(s, starts, symbols.end)
+                    parts = Texts(items)
+                    s = known.of(parts.hash)
+                    s[parts.is_word] = np.where(s[parts.is_word] < 0, by_code[parts.codes()], s[parts.is_word])
+                    s[~parts.is_word] = end
+                    two, one = contexts_of(s, parts.starts, end)
                     held.append((two, one, s))
                     size += len(s)
                     if size >= 16 * BATCH:
@@ -215,13 +258,14 @@ def trained(docs: DataFrame, own: list[bytes], endings: list[bytes], counts: np.
                 parts = np.array_split(local.vector * np.float32(trainer.seen), PARTS)
                 yield record_batch(schema, part=np.arange(PARTS, dtype=np.int32), node=np.full(PARTS, node), weight=np.full(PARTS, float(trainer.seen)), sum=[p.astype(np.float32).tobytes() for p in parts])
 
-        found, n = text.mapInArrow(run, "part int, node long, weight double, sum binary"), n_tasks
-        while True:
-            found = found.withColumn("node", F.floor(F.col("node") / FAN_IN)).groupBy("part", "node").applyInArrow(added, "part int, node long, weight double, sum binary")
-            n = -(-n // FAN_IN)
-            if n <= 1:
-                break
-        rows = sorted(found.collect(), key=lambda r: r["part"])
+        with swept(docs.sparkSession):
+            found, n = text.mapInArrow(run, "part int, node long, weight double, sum binary"), n_tasks
+            while True:
+                found = found.withColumn("node", F.floor(F.col("node") / FAN_IN)).groupBy("part", "node").applyInArrow(added, "part int, node long, weight double, sum binary")
+                n = -(-n // FAN_IN)
+                if n <= 1:
+                    break
+            rows = sorted(found.collect(), key=lambda r: r["part"])
         if len(rows) < PARTS:
             break
         model.load(np.concatenate([np.frombuffer(bytes(r["sum"]), np.float32) / np.float32(r["weight"]) for r in rows]))
@@ -237,22 +281,19 @@ def _steps(trainer: Trainer, held: list[tuple]) -> None:
         trainer.step(two[own], one[own], symbol[own])
 
 
-def pairs_of(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each token (an end after each text) a 64-bit key of it and the word before it, and the hash of that word; before a text there is an end."""
-    hashes, first = word_hashes([x.lower() for x in items])
-    n = np.diff(first) + 1
-    starts = np.cumsum(n) - n
-    word = np.full(int(n.sum()), _END_HASH, np.uint64)
-    inside = np.ones(len(word), bool)
-    inside[starts + n - 1] = False
-    word[inside] = hashes
-    before = np.roll(word, 1)
-    before[starts] = _END_HASH
-    return mixed(before * _ODD + word).view(np.int64), before
+def words_at(parts: Texts, tokens: np.ndarray) -> pa.Array:
+    """The words of tokens; the end is empty."""
+    raw, word = parts.bytes.tobytes(), (np.cumsum(parts.is_word) - 1)[tokens]
+    some = parts.is_word[tokens]
+    edges = zip(parts.begin[word[some]].tolist(), parts.end[word[some]].tolist(), strict=True)
+    out = [b""] * len(tokens)
+    for k, (lo, hi) in zip(np.flatnonzero(some).tolist(), edges, strict=True):
+        out[k] = raw[lo:hi]
+    return pa.array(out, pa.binary())
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
-    """Hashes of single words, as pairs_of has them."""
+    """Hashes of single words, as Texts has them."""
     out = np.full(len(words), _END_HASH, np.uint64)
     some = np.array([bool(w) for w in words], bool)
     if some.any():
@@ -281,26 +322,20 @@ def unpacked(column: pa.ChunkedArray, kind) -> np.ndarray:
 def pair_counts(docs: DataFrame, words: list[bytes], buckets: int, least: int = LEAST_PAIR) -> DataFrame:
     """key, before, c: how often each pair of neighbouring words comes in docs, `least` times or more, after one of words (at place `before`)."""
     schema = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("before", pa.binary()), ("c", pa.binary())])
-    known = hashes_of(words)
-    order = np.argsort(known)
-    sent = docs.sparkSession.sparkContext.broadcast((known[order], order.astype(np.int32)))
+    sent = docs.sparkSession.sparkContext.broadcast(Places(hashes_of(words)))
 
     def counted(held: list[tuple]) -> pa.RecordBatch:
-        sorted_hashes, places = sent.value
         key, before = (np.concatenate(x) for x in zip(*held, strict=True))
         key, first, c = np.unique(key, return_index=True, return_counts=True)
-        before = before[first]
-        at = np.searchsorted(sorted_hashes, before).clip(max=len(places) - 1)
-        found = sorted_hashes[at] == before
-        return parcels(schema, buckets, key[found], key=key[found], before=places[at[found]], c=c[found].astype(np.int32))
+        at = sent.value.of(before[first])
+        found = at >= 0
+        return parcels(schema, buckets, key[found], key=key[found], before=at[found], c=c[found].astype(np.int32))
 
     def run(batches):
-        if not len(sent.value[1]):
-            return
         held, size = [], 0
         for batch in batches:
             for _, _, items in text_slices(batch.column("text"), SCORED_BYTES):
-                held.append(pairs_of(items))
+                held.append(Texts(items).pairs())
                 size += len(held[-1][0])
                 if size >= SENT_TOKENS:
                     yield counted(held)
@@ -366,7 +401,8 @@ def map_of(pairs: DataFrame, bits: int = MAP_BITS) -> np.ndarray:
         yield record_batch(schema, at=some.astype(np.int32), byte=own[some].astype(np.int16))
 
     out = np.zeros(bits // 8, np.uint8)
-    found = pairs.select("key").mapInArrow(run, "at int, byte short").groupBy("at").agg(F.bit_or("byte").alias("byte")).toArrow()
+    with swept(pairs.sparkSession):
+        found = pairs.select("key").mapInArrow(run, "at int, byte short").groupBy("at").agg(F.bit_or("byte").alias("byte")).toArrow()
     out[found.column("at").to_numpy()] = found.column("byte").to_numpy().astype(np.uint8)
     return out
 
@@ -381,7 +417,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     Null and empty texts are an end alone. A null doc_id is not held out. Repeated rows count, and are scored, as often as
     they come. Extra columns play no part. Counts of words and of pairs of words cover all training texts; without any,
-    every word is unseen. Words in pairs are told apart by 64-bit hashes.
+    every word is unseen. The most frequent words, and words in pairs, are told apart by 64-bit hashes.
     """
     own = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     vocabulary = kept(word_counts(training(own)), "lm-words")
@@ -399,17 +435,18 @@ def score(docs: DataFrame) -> DataFrame:
     pairs = kept(pair_counts(training(own), words, buckets), "lm-pairs")
     # the model's probability stands for as many tokens as the word before has different followers, besides those counted
     weight, total = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
-    followers = pairs.groupBy("before").agg(F.count("*").alias("n"), F.sum("c").alias("c")).toArrow()
+    with swept(own.sparkSession):
+        followers = pairs.groupBy("before").agg(F.count("*").alias("n"), F.sum("c").alias("c")).toArrow()
     some = followers.column("before").to_numpy()
     total[some] = followers.column("c").to_numpy()
     # a word is followed as often as it comes; those that follow it once count as different followers, and what they counted for goes to the model
     weight[some] = followers.column("n").to_numpy() + 2 * (counts[some] - total[some])
     bitmap = map_of(pairs)
     often = commonest(pairs.select("key", "c"), KNOWN_PAIRS)
-    often = often.toArrow().sort_by("key") if often is not None else pa.table({"key": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+    often = often.toArrow() if often is not None else pa.table({"key": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
     symbols = Symbols(single, endings)
     of_word = np.array([symbols.own[w] if w in symbols.own else end if not w else symbols.by_ending(w) for w in words] + [0], np.int32)
-    sent = own.sparkSession.sparkContext.broadcast((words, counts, single, endings, of_word, in_symbol, model.vector, weight, total, bitmap, often.column("key").to_numpy(), often.column("c").to_numpy()))
+    sent = own.sparkSession.sparkContext.broadcast((Places(hashes_of(words)), counts, symbols.by_code(), of_word, in_symbol, model.vector, weight, total, bitmap, Places(often.column("key").to_numpy()), np.append(often.column("c").to_numpy(), 0)))
     rare_type = pa.struct([("word", pa.binary()), ("symbol", pa.int32()), ("key", pa.int64()), ("x", pa.float32())])  # key: null where none can be found
     asked = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("x", pa.binary()), ("asking", pa.binary())])
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("rare", pa.list_(rare_type)), *asked])
@@ -418,14 +455,13 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        known_words, known_counts, mine, theirs, of_word, times, vector, weights, followed, held, pair_keys, pair_times = sent.value
+        known_words, known_counts, by_code, of_word, times, vector, weights, followed, held, known_pairs, pair_times = sent.value
         neural = LogBilinear(times).load(vector)
         neural.ready()
         # of what follows a word, counted tokens and the model's share in the place of weight tokens
         counted = weights > 0
         log_weight, whole = np.log10(np.where(counted, weights, 1.0)), np.log10(np.where(counted, followed + weights, 1.0))
-        place = {w: k for k, w in enumerate(known_words)}
-        symbols = Symbols(mine, theirs)
+        before_all = known_words.of(np.array([_END_HASH]))[0]
         base = np.append(np.log10(known_counts + 1.0) - base_whole, 0.0)
         within = np.append(np.where(of_word[:-1] <= end, 0.0, np.log10(known_counts + 1.0) - shared_whole[of_word[:-1]]), 0.0)
         row = TaskContext.get().partitionId() << 33
@@ -433,30 +469,28 @@ def score(docs: DataFrame) -> DataFrame:
         for batch in batches:
             keys = batch.column("doc_id")
             for lo, hi, items in text_slices(batch.column("text"), SCORED_BYTES):
-                parts = [tokens(x) for x in items]
-                size = np.array([len(x) + 1 for x in parts], np.int64)
-                starts = np.cumsum(size) - size
-                flat = [w for x in parts for w in (*x, b"")]
-                at = np.array([place.get(w, -1) for w in flat], np.int64)
+                parts = Texts(items)
+                size, starts = parts.size, parts.starts
+                at = known_words.of(parts.hash)
                 symbol = of_word[at]
+                symbol[parts.is_word] = np.where(at[parts.is_word] < 0, by_code[parts.codes()], symbol[parts.is_word])
+                symbol[~parts.is_word] = end
                 unknown = np.flatnonzero(at < 0)
-                symbol[unknown] = [symbols[flat[i]] if flat[i] else end for i in unknown.tolist()]
                 out = neural.log_probabilities(*contexts_of(symbol, starts, end), symbol) / np.log(10) + within[at]
                 before = np.roll(at, 1)
-                before[starts] = place.get(b"", -1)
+                before[starts] = before_all
                 # probability by the model as so many tokens, to which those counted after the word before are added
                 out += log_weight[before]
-                key, _ = pairs_of(items)
-                times = np.zeros(len(key))
-                if len(pair_keys):
-                    near = np.searchsorted(pair_keys, key).clip(max=len(pair_keys) - 1)
-                    times = np.where((pair_keys[near] == key) & counted[before], pair_times[near], 0)
+                key, _ = parts.pairs()
+                times = np.where(counted[before], pair_times[known_pairs.of(key)], 0)
                 look = (times == 0) & counted[before] & may_hold(held, key)
                 joined = np.flatnonzero(look & (at >= 0))
-                total = out + np.log10(1 + times * 10.0**-out) - whole[before]
+                total = out - whole[before]
+                some = np.flatnonzero(times)
+                total[some] += np.log10(1 + times[some] * 10.0 ** -out[some])
                 edges, rows = np.append(starts, len(key)), row + np.arange(len(items))
                 row += len(items)
-                rare = pa.StructArray.from_arrays([pa.array([flat[i] for i in unknown.tolist()], pa.binary()), pa.array(symbol[unknown].astype(np.int32)), pa.array(key[unknown], mask=~look[unknown]), pa.array(out[unknown].astype(np.float32))], fields=list(rare_type))
+                rare = pa.StructArray.from_arrays([words_at(parts, unknown), pa.array(symbol[unknown].astype(np.int32)), pa.array(key[unknown], mask=~look[unknown]), pa.array(out[unknown].astype(np.float32))], fields=list(rare_type))
                 rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(unknown, edges).astype(np.int32)), rare)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(rows), keys.slice(lo, hi - lo), pa.array(size), pa.array(np.add.reduceat((at >= 0).astype(np.int64), starts)), pa.array(np.add.reduceat(base[at], starts)),

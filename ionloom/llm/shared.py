@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -40,16 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+@contextlib.contextmanager
+def swept(spark: SparkSession):
+    """Queries that are made in here delete what they have shuffled as soon as they end."""
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
 def kept(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read again: the lineage ends there, in files that survive lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    conf = df.sparkSession.conf
-    before = conf.get(CLEAN_UP, "false")
-    conf.set(CLEAN_UP, "true")  # what this write has shuffled, no later step reads
-    try:
+    with swept(df.sparkSession):  # what this write has shuffled, no later step reads
         df.write.parquet(path)
-    finally:
-        conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -287,3 +287,32 @@ def test_probabilities_of_short_texts_add_up(spark, monkeypatch):
     tried = ["", *words, *[f"{a} {b}" for a in words for b in words], *[f"{a} {b} {c}" for a in words for b in words for c in words]]
     got = [r.score for r in language_model.score(frame(spark, rows + [(i, t, "en", "s", None) for i, t in zip(ids, tried, strict=False)])).collect() if r.held_out]
     assert len(got) == len(tried) and 0.8 < sum(10**x for x in got) <= 1
+
+
+def test_lookups_of_pairs_travel_packed(spark, monkeypatch):
+    """One row of Spark for a task's pairs in a bucket, not one for each token."""
+    monkeypatch.setattr(language_model, "KNOWN_PAIRS", 0)  # all pairs are looked up in buckets
+    monkeypatch.setattr(language_model, "PAIR_TOKENS", 4096)
+    held, kept = {}, language_model.kept
+    monkeypatch.setattr(language_model, "kept", lambda df, what: held.setdefault(what, kept(df, what)))
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(60)), "en", "s", None) for i in range(300)]
+    got = language_model.score(frame(spark, rows)).collect()
+    n_tokens, partial = sum(r.n_tokens for r in got), held["lm-partial"]
+    asked = partial.where("bucket is not null").selectExpr("count(*) n", "sum(length(key)) / 8 keys").first()
+    buckets = 1 + got[0].train_tokens // 4096
+    assert n_tokens == 300 * 61 and buckets > 1
+    assert asked.keys > 0.8 * n_tokens and asked.n <= buckets * partial.rdd.getNumPartitions() * 4 < n_tokens / 20
+
+
+def test_tokens_are_those_of_a_plain_loop():
+    items = ["", "A", "a Bc", " \t x\x0by ", "\u00a0\u00c9t\u00e9 \u00e9", "end\n", "z\x1cq 12"]
+    raw = [x.encode() for x in items]
+    parts = language_model.Texts(raw)
+    words = [w for x in raw for w in (*language_model.tokens(x), b"")]
+    assert parts.size.tolist() == [len(language_model.tokens(x)) + 1 for x in raw]
+    assert language_model.words_at(parts, np.arange(len(words))).to_pylist() == words
+    assert parts.hash.tolist() == language_model.hashes_of(words).tolist()
+    symbols = language_model.Symbols([b"a", b"bc"], [b"x", b"12", "\u00e9".encode()])
+    assert symbols.by_code()[parts.codes()].tolist() == [symbols.by_ending(w) for w in words if w]
+    known = [b"bc", b"", b"x"]
+    assert language_model.Places(language_model.hashes_of(known)).of(parts.hash).tolist() == [known.index(w) if w in known else -1 for w in words]
